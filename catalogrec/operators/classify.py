@@ -60,7 +60,7 @@ def centroid_scores(
     numbered = profiles.withColumn("_pos", F.array_position(position, F.col(label)))
     n_labels = names.count()
     found = nearest(
-        rows, numbered, k=n_labels, left_id=id_col, right_id="_pos", left_vec=vec, broadcast_side="right"
+        rows, numbered, k=n_labels, left_id=id_col, right_id="_pos", left_vec=vec
     )
     return found.select(
         F.col("left_id").alias(id_col),

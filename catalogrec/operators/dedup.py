@@ -70,10 +70,21 @@ def dedup_merge(
     return joined.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
+def _short(name: str, dtype: str) -> Column:
+    """The value itself, or the SHA-256 of a text of 64 characters or more (never as short)."""
+    c = F.col(name)
+    return F.when(F.length(c) >= 64, F.sha2(c, 256)).otherwise(c) if dtype == "string" else c
+
+
 def exact_duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows that repeat an earlier row: per distinct row its copies minus one."""
-    columns = columns or df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    """Rows that repeat an earlier row: per distinct row its copies minus one.
+
+    Long texts are compared by digest, so a row costs the shuffle a few bytes, and copies are
+    combined map-side.
+    """
+    types = dict(df.dtypes)
+    keys = [_short(c, types[c]).alias(f"k{i}") for i, c in enumerate(columns or df.columns)]
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicated_rows"))
 
 

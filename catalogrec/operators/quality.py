@@ -29,7 +29,11 @@ def verify_titles(df: DataFrame, catalog: DataFrame, id_col: str, title: str = "
     wanted = df.select(
         id_col, F.explode_outer("suggested_titles").alias("_t")
     ).select(id_col, lookup_key("_t").alias("title_key"))
-    known = title_index(catalog, title).withColumn("_known", F.lit(1))
+    # Only suggested keys are looked for, so a small batch is broadcast against the catalogue scan
+    # and no catalogue row without a match is shuffled.
+    suggested = wanted.where("title_key is not null").select("title_key").distinct()
+    offered = catalog.select(lookup_key(title).alias("title_key"))
+    known = offered.join(suggested, "title_key", "left_semi").distinct().withColumn("_known", F.lit(1))
     counted = wanted.groupBy(id_col, "title_key").agg(F.count("title_key").alias("_n"))
     n = F.sum("_n")
     verified = F.sum(F.when(F.col("_known") == 1, F.col("_n")).otherwise(0))

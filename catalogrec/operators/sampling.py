@@ -59,8 +59,6 @@ def stratified_split(
     )
     placed = hashed.join(border, F.col(label).eqNullSafe(F.col("_label")), "left")
     inside = F.col("_b") == F.col("_border")
-    # Only border rows are ranked: the others get a partition key of their own hash prefix and
-    # no rank is read from them.
     settled = placed.where(F.coalesce(~inside, F.lit(True))).withColumn(
         "is_test", F.coalesce(F.col("_b") < F.col("_border"), F.lit(False))
     )

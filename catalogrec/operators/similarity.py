@@ -135,11 +135,10 @@ def _side(df: DataFrame, id_col: str, vec_col: str, keys_col: str | None) -> Dat
     )
 
 
-def _fetch_small(side: DataFrame, width: int, limit_bytes: int) -> pa.Table | None:
-    """The whole side if its vectors fit in ``limit_bytes``, else None; reads no more than that."""
-    max_rows = max(1, limit_bytes // (8 * width))
-    table = side.limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows and table.nbytes <= limit_bytes else None
+def _measure(side: DataFrame) -> int:
+    """Bytes of a side: eight per vector cell plus the text of its keys."""
+    key_text = F.aggregate(F.coalesce("keys", F.array().cast("array<string>")), F.lit(0), lambda n, k: n + F.length(k))
+    return side.agg(F.sum(F.size("vec").cast("long") * 8 + key_text)).first()[0] or 0
 
 
 def nearest(
@@ -153,7 +152,6 @@ def nearest(
     left_keys: str | None = None,
     right_keys: str | None = None,
     small_side_bytes: int = SMALL_SIDE_BYTES,
-    broadcast_side: str = "auto",
 ) -> DataFrame:
     """(left_id, right_id, similarity, rank): the k most similar right rows of each left row.
 
@@ -170,13 +168,10 @@ def nearest(
     """
     lhs = _side(left, left_id, left_vec, left_keys)
     rhs = _side(right, right_id, right_vec, right_keys)
-    first = rhs.select(F.size("vec")).first()
-    width = max(1, first[0]) if first else 1
     context = left.sparkSession.sparkContext
-
-    small = _fetch_small(rhs, width, small_side_bytes) if broadcast_side in ("auto", "right") else None
-    if small is not None:
-        shared = context.broadcast(small)
+    right_bytes = _measure(rhs)
+    if right_bytes <= small_side_bytes:
+        shared = context.broadcast(rhs.toArrow())
 
         def finish_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = VectorBlock(shared.value)
@@ -186,9 +181,9 @@ def nearest(
 
         return lhs.mapInArrow(finish_left, _RESULT)
 
-    small = _fetch_small(lhs, width, small_side_bytes) if broadcast_side in ("auto", "left") else None
-    if small is not None:
-        shared = context.broadcast(small)
+    left_bytes = _measure(lhs)
+    if left_bytes <= small_side_bytes:
+        shared = context.broadcast(lhs.toArrow())
 
         def scan_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = VectorBlock(shared.value)
@@ -202,7 +197,10 @@ def nearest(
 
         return _ranked(rhs.mapInArrow(scan_right, _RESULT), k)
 
-    return _ranked(_fragment_and_replicate(lhs, rhs, k, width, small_side_bytes), k)
+    found = _fragment_and_replicate(
+        lhs, ceil(left_bytes / small_side_bytes), rhs, ceil(right_bytes / small_side_bytes), k
+    )
+    return _ranked(found, k)
 
 
 def _keep_best(a, b, k: int):
@@ -215,16 +213,13 @@ def _keep_best(a, b, k: int):
 
 
 def _fragment_and_replicate(
-    lhs: DataFrame, rhs: DataFrame, k: int, width: int, piece_bytes: int
+    lhs: DataFrame, n_left: int, rhs: DataFrame, n_right: int, k: int
 ) -> DataFrame:
-    rows_per_piece = max(1, piece_bytes // (8 * width))
-    n_left = max(1, ceil(lhs.count() / rows_per_piece))
-    n_right = max(1, ceil(rhs.count() / rows_per_piece))
+    """Top k of every pair of the ``n_left`` x ``n_right`` pieces of the two sides."""
 
     def pieces(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own))).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).cast("long")
-        )
+        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
+        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(other, every)
 
     grid_left = pieces(lhs, "lp", n_left, "rp", n_right).groupBy("lp", "rp")
     grid_right = pieces(rhs, "rp", n_right, "lp", n_left).groupBy("lp", "rp")

@@ -22,6 +22,7 @@ from ..functions.questionnaire import (
 from ..functions.vectors import axis_level, cosine, weighted_score
 from ..operators.encoder import encode_text, fit_encoder
 from ..operators.similarity import nearest
+from ..session import scratch_path
 from ..sources.storage import materialize
 
 TOP_K = 5
@@ -173,10 +174,13 @@ def recommend(
     **options,
 ) -> DataFrame:
     """Recommendations of every valid questionnaire, one row per (query_id, rank)."""
+    spark = preferences.sparkSession
     valid, _ = split_valid(preferences)
     questions = encode(with_query_text(valid), "query_text")
-    ranked = rank_books(questions, vectors, k, **options)
-    return describe_books(ranked, catalog, vectors, anchors)
+    # The winners are few; written once, their size is known and scoring is not repeated, so the
+    # planner can broadcast them to the catalogue scan instead of shuffling the catalogue.
+    winners = materialize(spark, scratch_path(spark, "winners"), lambda: rank_books(questions, vectors, k, **options))
+    return describe_books(winners, catalog, vectors, anchors)
 
 
 def session_results(preferences: DataFrame, recommendations: DataFrame) -> DataFrame:

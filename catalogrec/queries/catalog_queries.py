@@ -215,6 +215,8 @@ def _csv_sources(spark, d):
             .option("quote", '"')
             .option("escape", '"')
             .option("encoding", encoding)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .csv(f"{folder}/{name}")
         )
     frames = [
