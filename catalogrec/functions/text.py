@@ -12,13 +12,25 @@ from pyspark.sql.types import StringType
 # Unicode whitespace plus the four separators U+001C..U+001F.
 _WS = r"[\s\x{1c}-\x{1f}]"
 WHITESPACE_RUN = f"(?U){_WS}+"
-_OUTER_WHITESPACE = rf"(?U)\A{_WS}+|{_WS}+\z"
+_LEADING_WHITESPACE = rf"(?U)\A{_WS}+"
+_OUTER_WHITESPACE = rf"{_LEADING_WHITESPACE}|{_WS}+\z"
+
+# Ordinary text: printable ASCII without "&", tab, line feed and the Latin-1 letters. It needs no
+# repair and its whitespace is plain. Listed one by one, the class is a single table lookup per
+# character, several times faster than ranges or Unicode classes.
+_ORDINARY = [0x09, 0x0A, *(c for c in range(0x20, 0x7F) if c != 0x26), *range(0xC0, 0x100)]
+_UNUSUAL = "[^" + "".join(f"\\x{c:02x}" for c in _ORDINARY) + "]"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` knows spaces only)."""
     return F.regexp_replace(_col(c), _OUTER_WHITESPACE, "")
@@ -29,6 +41,17 @@ def squeeze(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(c), WHITESPACE_RUN, " "))
 
 
+def _is_ordinary(c: Column) -> Column:
+    return ~c.rlike(_UNUSUAL)
+
+
+def _squeeze_ordinary(c: Column) -> Column:
+    """``squeeze`` of ordinary text without a regular expression unless spaces repeat."""
+    spaced = F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
+    repeated = lambda t: F.contains(t, F.lit("  "))
+    return F.trim(_let(spaced, lambda t: F.when(repeated(t), F.regexp_replace(t, " {2,}", " ")).otherwise(t)))
+
+
 def is_blank(c: Column | str) -> Column:
     """True for null and for text made of whitespace only."""
     return F.coalesce(~_col(c).rlike(r"(?U)[^\s\x{1c}-\x{1f}]"), F.lit(True))
@@ -41,7 +64,15 @@ def words(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.size(words(c))
+    """Number of words: the spaces of the squeezed text plus one."""
+    text = F.coalesce(_col(c), F.lit(""))
+    line = F.when(_is_ordinary(text), _squeeze_ordinary(text)).otherwise(squeeze(text))
+
+    def count(t: Column) -> Column:
+        spaces = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.when(t == "", F.lit(0)).otherwise(spaces + 1)
+
+    return _let(line, count)
 
 
 # --- encoding repair -------------------------------------------------------------------------
@@ -96,12 +127,14 @@ def _cp1252_tables() -> tuple[str, str]:
 def repair_mojibake(c: Column | str) -> Column:
     """UTF-8 that was read as Latin-1 or windows-1252, decoded again; other text unchanged."""
     visible, raw = _cp1252_tables()
-    as_bytes = F.translate(_col(c), visible, raw)
-    damaged = as_bytes.rlike(r"[\x{c2}-\x{f4}][\x{80}-\x{bf}]") & as_bytes.rlike(
-        r"(?s)\A[\x{00}-\x{ff}]*\z"
-    )
-    decoded = F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string"))
-    return F.when(damaged, F.coalesce(decoded, _col(c))).otherwise(_col(c))
+
+    def decode(as_bytes: Column) -> Column:
+        damaged = as_bytes.rlike(r"[\x{c2}-\x{f4}][\x{80}-\x{bf}]") & as_bytes.rlike(
+            r"(?s)\A[\x{00}-\x{ff}]*\z"
+        )
+        return F.when(damaged, F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string")))
+
+    return F.coalesce(_let(F.translate(_col(c), visible, raw), decode), _col(c))
 
 
 def unescape_entities(c: Column | str) -> Column:
@@ -115,24 +148,27 @@ def unescape_entities(c: Column | str) -> Column:
 def repair_text(c: Column | str) -> Column:
     """Entities, mojibake, ligatures, full-width forms, curly quotes, line ends, control chars.
 
-    Each step that can only matter for rare characters sits behind one cheap test, so ordinary
-    text pays for a single scan.
+    Ordinary text is recognised by one scan and left as it is.
     """
-    wide = "".join(chr(p) for p in range(0xFF01, 0xFF5F)) + "　"
+    return F.when(_is_ordinary(_col(c)), _col(c)).otherwise(_let(_col(c), _repair_unusual))
+
+
+def _repair_unusual(text: Column) -> Column:
+    wide = "".join(chr(p) for p in range(0xFF01, 0xFF5F)) + "\u3000"
     narrow = "".join(chr(p - 0xFEE0) for p in range(0xFF01, 0xFF5F)) + " "
-    out = repair_mojibake(unescape_entities(c))
-    for ligature, plain in LIGATURES.items():
-        out = F.replace(out, F.lit(ligature), F.lit(plain))
-    out = F.translate(
-        out, wide + "".join(CURLY_QUOTES), narrow + "".join(CURLY_QUOTES.values())
-    )
+
+    def plain_forms(t: Column) -> Column:
+        for ligature, plain in LIGATURES.items():
+            t = F.replace(t, F.lit(ligature), F.lit(plain))
+        return F.translate(t, wide + "".join(CURLY_QUOTES), narrow + "".join(CURLY_QUOTES.values()))
+
+    def with_plain_forms(t: Column) -> Column:
+        special = t.rlike(r"[\x{2018}-\x{201f}\x{3000}\x{fb00}-\x{fb06}\x{ff01}-\x{ff5e}]")
+        return F.when(special, plain_forms(t)).otherwise(t)
+
+    out = _let(_let(unescape_entities(text), repair_mojibake), with_plain_forms)
     out = F.regexp_replace(out, r"\r\n|[\r\x{85}\x{2028}\x{2029}]", "\n")
-    out = F.regexp_replace(out, _CONTROL_CHARS, "")
-    suspicious = _col(c).rlike(
-        r"[&\r\x{00}-\x{08}\x{0b}\x{0e}-\x{1f}\x{7f}-\x{bf}"
-        r"\x{2018}-\x{201f}\x{2028}\x{2029}\x{3000}\x{fb00}-\x{ffff}]|[\x{c2}-\x{f4}][\x{152}-\x{2122}]"
-    )
-    return F.when(suspicious, out).otherwise(_col(c))
+    return F.regexp_replace(out, _CONTROL_CHARS, "")
 
 
 @F.pandas_udf(StringType())
@@ -146,10 +182,11 @@ def normalize_nfc(s: pd.Series) -> pd.Series:
 
 def clean_text(c: Column | str, nfc: bool = False) -> Column:
     """Repair, lower-case and squeeze; null becomes the empty text."""
-    fixed = repair_text(c)
+    text = _col(c)
     if nfc:
-        fixed = normalize_nfc(fixed)
-    return F.coalesce(squeeze(F.lower(fixed)), F.lit(""))
+        return F.coalesce(squeeze(F.lower(normalize_nfc(repair_text(text)))), F.lit(""))
+    quick = F.when(_is_ordinary(text), _squeeze_ordinary(F.lower(text)))
+    return F.coalesce(quick.otherwise(squeeze(F.lower(_let(text, _repair_unusual)))), F.lit(""))
 
 
 def clean_authors(c: Column | str) -> Column:
@@ -183,9 +220,11 @@ def author_key(c: Column | str) -> Column:
 def truncate_words(c: Column | str, max_words: int) -> Column:
     """First ``max_words`` words followed by ``...``; shorter text is returned unchanged."""
     text = F.coalesce(_col(c), F.lit(""))
-    parts = F.split(strip(text), WHITESPACE_RUN, max_words + 1)
+    # The last part is the unsplit rest; it is empty when only whitespace follows.
+    parts = F.split(F.regexp_replace(text, _LEADING_WHITESPACE, ""), WHITESPACE_RUN, max_words + 1)
     shortened = F.concat(F.array_join(F.slice(parts, 1, max_words), " "), F.lit("..."))
-    return F.when(F.size(parts) > max_words, shortened).otherwise(text)
+    longer = (F.size(parts) > max_words) & (F.get(parts, max_words) != "")
+    return F.when(longer, shortened).otherwise(text)
 
 
 # --- values out of free text -----------------------------------------------------------------

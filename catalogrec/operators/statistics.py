@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, word_count
+from ..session import scratch_path
+from ..sources.storage import materialize
 
 # Buckets a span is counted in, and values listed at once, when an exact quantile is located.
 _BUCKETS = 4096
@@ -87,6 +89,17 @@ def _series(df: DataFrame, columns: list[Column]) -> DataFrame:
     )
 
 
+def _stored_series(df: DataFrame, column: str | Column) -> DataFrame:
+    """The series of one column; a computed column is computed once and written as numbers.
+
+    Several passes follow, and none of them should go back to the text it came from.
+    """
+    if isinstance(column, str):
+        return _series(df, [F.col(column)])
+    spark = df.sparkSession
+    return materialize(spark, scratch_path(spark, "series"), lambda: _series(df, [column]))
+
+
 def _quantiles(values: DataFrame, bounds: dict[int, tuple], probs: list[float]) -> dict[tuple[int, float], float]:
     """{(series, prob): quantile} given {series: (n, min, max)} of a ``_series`` table."""
     positions = {(i, p): (n - 1) * p for i, (n, _, _) in bounds.items() if n for p in probs}
@@ -154,7 +167,7 @@ def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float]) ->
     even 10^12 distinct values take four passes over the one column. The last values are listed
     once no more than ``_LISTED_VALUES`` are left.
     """
-    values = _series(df, [F.col(column) if isinstance(column, str) else column])
+    values = _stored_series(df, column)
     bounds = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
     found = _quantiles(values, {0: tuple(bounds)}, probs)
     rows = [(float(p), found.get((0, p))) for p in probs]
@@ -199,8 +212,7 @@ def histogram(df: DataFrame, column: str | Column, bins: int = 60) -> DataFrame:
 
     Empty bins are listed too.
     """
-    value = (F.col(column) if isinstance(column, str) else column).cast("double")
-    values = df.select(value.alias("v")).where(F.col("v").isNotNull())
+    values = _stored_series(df, column)
     bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(float(bins))

@@ -9,7 +9,7 @@ from ..functions.labels import period_bucket, with_genre
 from ..functions.text import clean_authors, clean_text, truncate_words
 from ..operators.dedup import dedup_merge
 from ..operators.keywords import extract_keywords
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.catalog_csv import load_source_1, load_source_2, load_source_3, merge_sources
 from ..sources.storage import materialize
 
@@ -60,7 +60,9 @@ def build_catalog_from(
     spark = merged.sparkSession
     stage = stage or scratch_path(spark, "clean-rows")
     rows = materialize(
-        spark, stage, lambda: clean_columns(drop_incomplete(dedup_merge(merged)), embedding_max_words)
+        spark,
+        stage,
+        lambda: clean_columns(drop_incomplete(dedup_merge(spread(merged, "book_id"))), embedding_max_words),
     )
     keywords = extract_keywords(rows, text_col="desc_clean", stop_words=stop_words)
     return rows.join(keywords, "book_id", "left").withColumn(

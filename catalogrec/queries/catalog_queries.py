@@ -9,7 +9,7 @@ from ..operators.keywords import keyword_weights
 from ..operators.statistics import corpus_statistics
 from ..plans.catalog import build_catalog_from, step_counts
 from ..plans.recommend import already_read, exclude_read
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.catalog_csv import (
     from_source_1,
     from_source_2,
@@ -22,7 +22,7 @@ from ..sources.catalog_csv import (
     source_counts,
 )
 from . import sql as q
-from .tables import table
+from .tables import table, texts
 from .text_queries import category_of, category_sql
 
 # Stop words passed to the keyword queries (the operator's default needs a session to load).
@@ -130,13 +130,12 @@ _MERGED_COLUMNS = "book_id, title, authors, description, year, series, language,
 
 
 def merged(spark, d):
-    return merge_sources(
-        [
-            from_source_1(raw_source_1(spark, d), F.col("p_partkey")),
-            from_source_2(raw_source_2(spark, d), F.col("doc_id")),
-            from_source_3(raw_source_3(spark, d), F.col("page_id")),
-        ]
-    )
+    frames = [
+        from_source_1(raw_source_1(spark, d), F.col("p_partkey")),
+        from_source_2(raw_source_2(spark, d), F.col("doc_id")),
+        from_source_3(raw_source_3(spark, d), F.col("page_id")),
+    ]
+    return spread(merge_sources(frames), "book_id")
 
 
 def _source_counts(spark, d):
@@ -152,7 +151,7 @@ def _step_counts(spark, d):
 
 
 def _keywords(spark, d):
-    docs = table(spark, d, "documents")
+    docs = texts(spark, d, "documents", "doc_id", "text")
     return keyword_weights(docs, "doc_id", "text", stop_words=STOP_WORDS).select("doc_id", "rank", "term", "weight")
 
 

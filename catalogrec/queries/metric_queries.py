@@ -10,7 +10,7 @@ from ..operators.encoder import encode_text, encode_with, fit_encoder
 from ..operators.quality import split_suggestions, summary_quality, verify_titles
 from ..plans.benchmark import kpi_tables
 from . import sql as q
-from .tables import table
+from .tables import table, texts
 
 # 'refund' never occurs: its row and column of the matrix are zeros.
 LABELS = ["click", "error", "purchase", "refund", "signup", "view"]
@@ -135,7 +135,7 @@ def _summary_quality(spark, d):
 
 
 def _embed_text(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = texts(spark, d, "documents", "doc_id", "text")
     model = fit_encoder(docs, "text")
     return encode_text(model, docs, "text").select("doc_id", "embedding")
 
@@ -146,7 +146,7 @@ def _embed_custom(spark, d):
     def load():
         return lambda texts: [[float(len(t)), float(t.count(" "))] for t in texts]
 
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = texts(spark, d, "documents", "doc_id", "text")
     out = encode_with(docs, "text", load)
     return out.select("doc_id", F.col("embedding")[0].cast("double").alias("n_chars"), F.col("embedding")[1].cast("double").alias("n_spaces"))
 

@@ -12,7 +12,7 @@ from ..operators import sampling, statistics
 from ..operators.dedup import drop_exact_duplicates, exact_duplicate_count
 from ..plans.profile import profile
 from . import sql as q
-from .tables import table
+from .tables import table, texts
 
 
 def _value_counts(spark, d):
@@ -70,11 +70,11 @@ def _describe_sql() -> str:
 
 
 def _median(spark, d):
-    return statistics.median(table(spark, d, "documents"), word_count("text"))
+    return statistics.median(texts(spark, d, "documents", "doc_id", "text"), word_count("text"))
 
 
 def _histogram(spark, d):
-    out = statistics.histogram(table(spark, d, "documents"), word_count("text"), bins=60)
+    out = statistics.histogram(texts(spark, d, "documents", "doc_id", "text"), word_count("text"), bins=60)
     return out.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "count")
 
 

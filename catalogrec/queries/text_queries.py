@@ -39,7 +39,7 @@ from ..plans.benchmark import known_labels
 from ..plans.catalog import drop_incomplete
 from ..plans.recommend import split_valid
 from . import sql as q
-from .tables import table
+from .tables import table, texts
 
 CATEGORIES = [*CATEGORY_GENRES, "", "Zzz", ",Fiction"]
 CATEGORY_LIST = q.listed(CATEGORIES)
@@ -55,20 +55,20 @@ def category_sql(key: str) -> str:
 
 
 def _clean_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", clean_text("text").alias("desc_clean"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", clean_text("text").alias("desc_clean"))
 
 
 def _truncate(spark, d):
-    return table(spark, d, "documents").select("doc_id", truncate_words("text", 50).alias("desc_display"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", truncate_words("text", 50).alias("desc_display"))
 
 
 def _word_count(spark, d):
-    return table(spark, d, "documents").select("doc_id", word_count("text").alias("n_words"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", word_count("text").alias("n_words"))
 
 
 def _embedding_text(spark, d):
     body = clean_text("text")
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents", "doc_id", "text", "source", "lang").select(
         "doc_id",
         F.concat_ws(". ", clean_text("source"), "lang", truncate_words(body, 200)).alias("text_full"),
         F.concat_ws(" ", clean_text("source"), truncate_words(body, 100)).alias("text_leak_free"),
@@ -77,7 +77,7 @@ def _embedding_text(spark, d):
 
 def _mojibake(spark, d):
     damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id", repair_text(damaged).alias("from_damaged"), repair_text("text").alias("from_sound")
     )
 
