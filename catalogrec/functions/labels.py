@@ -155,10 +155,10 @@ def with_genre(
 
 def period_bucket(year: Column | str) -> Column:
     """Decade label of a publication year."""
-    whole = _col(year).cast("long")
+    whole = _col(year).cast("double").try_cast("long")
     decade = F.concat((F.floor(whole / 10) * 10).cast("long").cast("string"), F.lit("s"))
     return (
-        F.when(whole.isNull() | F.isnan(_col(year).cast("double")), F.lit(UNKNOWN_PERIOD))
+        F.when(whole.isNull(), F.lit(UNKNOWN_PERIOD))
         .when(whole < 1900, F.lit(EARLY_PERIOD))
         .otherwise(decade)
     )

@@ -41,15 +41,22 @@ def dedup_merge(
     """
     types = dict(df.dtypes)
     keyed = df.withColumn("_title", title_key(title))
-    length = F.coalesce(F.length(description), F.lit(0))
-    key = author_rule(authors)
+    # The author key is read twice below, which keeps this projection in front of the aggregation:
+    # the description is gone before rows are sorted or shuffled.
+    narrow = keyed.select(
+        "_title",
+        id_col,
+        author_rule(authors).alias("_author"),
+        F.coalesce(F.length(description), F.lit(0)).alias("_length"),
+        *fill,
+    )
     groups = (
-        keyed.groupBy("_title")
+        narrow.groupBy("_title")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.min(key).alias("_first_author"),
-            F.max(key).alias("_last_author"),
-            F.max_by(F.col(id_col), F.struct(length, -F.col(id_col))).alias("_best"),
+            F.min("_author").alias("_first_author"),
+            F.max("_author").alias("_last_author"),
+            F.max_by(F.col(id_col), F.struct("_length", -F.col(id_col))).alias("_best"),
             *[
                 F.min_by(F.col(c), F.when(~_missing(c, types[c]), F.col(id_col))).alias(f"_fill_{c}")
                 for c in fill

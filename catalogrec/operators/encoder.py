@@ -8,35 +8,36 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 384
 
 
+def _input(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col), F.lit(""))
+
+
 def fit_encoder(corpus: DataFrame, text_col: str = "text_full", width: int = WIDTH) -> PipelineModel:
     """Hashed term frequencies weighted by corpus idf, unit length; one pass to fit."""
     return Pipeline(
         stages=[
             RegexTokenizer(
-                inputCol=text_col, outputCol="_tokens", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False
+                inputCol="_text", outputCol="_tokens", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False
             ),
             HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=width),
             IDF(inputCol="_tf", outputCol="_tfidf"),
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
         ]
-    ).fit(corpus)
+    ).fit(corpus.select(_input(text_col).alias("_text")))
 
 
 def encode_text(model: PipelineModel, df: DataFrame, text_col: str) -> DataFrame:
     """Add ``embedding ARRAY<FLOAT>`` using a fitted encoder, for corpus and queries alike."""
-    expected = model.stages[0].getInputCol()
-    rows = df.withColumn(expected, F.coalesce(F.col(text_col), F.lit("")))
-    added = [c for c in (expected,) if c not in df.columns]
-    encoded = model.transform(rows).withColumn("embedding", vector_to_array("_unit", "float32"))
-    if expected in df.columns and expected != text_col:
-        raise ValueError(f"column {expected} would be overwritten by the encoder input")
-    return encoded.drop("_tokens", "_tf", "_tfidf", "_unit", *added)
+    encoded = model.transform(df.withColumn("_text", _input(text_col)))
+    return encoded.withColumn("embedding", vector_to_array("_unit", "float32")).drop(
+        "_text", "_tokens", "_tf", "_tfidf", "_unit"
+    )
 
 
 def encode_with(

@@ -128,7 +128,7 @@ _RESULT = "left_id long, right_id long, similarity double, rank int"
 
 def _side(df: DataFrame, id_col: str, vec_col: str, keys_col: str | None) -> DataFrame:
     keys = F.col(keys_col) if keys_col else F.lit(None)
-    return df.select(
+    return df.where(F.col(vec_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"),
         F.col(vec_col).alias("vec"),
         keys.cast("array<string>").alias("keys"),

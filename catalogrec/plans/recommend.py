@@ -183,20 +183,25 @@ def recommend(
     return describe_books(winners, catalog, vectors, anchors)
 
 
-def session_results(preferences: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """One document per questionnaire: answers, query text, wanted profile, ranked books."""
+def session_results(
+    preferences: DataFrame, recommendations: DataFrame, quality: DataFrame | None = None
+) -> DataFrame:
+    """One document per questionnaire: answers, query text, wanted profile, ranked books.
+
+    ``quality`` adds the checked summary of a questionnaire where there is one.
+    """
     # At most k books per questionnaire are collected into its list.
-    books = F.struct(*[c for c in recommendations.columns if c != "query_id"])
-    listed = recommendations.groupBy("query_id").agg(
-        F.array_sort(
-            F.collect_list(books), lambda a, b: a["rank"] - b["rank"]
-        ).alias("recommendations")
-    )
+    books = F.struct("rank", *[c for c in recommendations.columns if c not in ("query_id", "rank")])
+    listed = recommendations.groupBy("query_id").agg(F.array_sort(F.collect_list(books)).alias("recommendations"))
     answers = with_query_text(preferences)
-    return answers.join(listed, "query_id").select(
+    out = answers.join(listed, "query_id").select(
         "query_id",
         F.struct(*preferences.columns).alias("preferences"),
         "query_text",
         user_profile().alias("user_profile"),
         "recommendations",
     )
+    if quality is None:
+        return out
+    checks = F.struct(*[c for c in quality.columns if c not in ("query_id", "summary")])
+    return out.join(quality.select("query_id", "summary", checks.alias("genai_quality")), "query_id", "left")

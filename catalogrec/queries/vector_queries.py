@@ -46,6 +46,11 @@ def _cosine(spark, d):
     return pairs.select("vec_id", F.round(cosine("embedding", "centroid"), 6).alias("similarity"))
 
 
+def _score_order(spark, d):
+    """Vectors ordered by similarity to their label's mean, best first."""
+    return _cosine(spark, d).orderBy(F.desc("similarity"), "vec_id")
+
+
 def _topk(spark, d):
     """Five nearest other vectors of every vector."""
     vectors = _vectors(spark, d).withColumn("own", F.array(F.col("vec_id").cast("string")))
@@ -377,6 +382,11 @@ QUERIES = {
         _cosine,
         f"WITH {CENTROIDS_SQL} SELECT vec_id, round({q.cosine(_E, 'c')}, 6) AS similarity FROM embeddings JOIN centroid USING (label)",
     ),
+    "score_order": (
+        _score_order,
+        f"""WITH {CENTROIDS_SQL} SELECT vec_id, round({q.cosine(_E, 'c')}, 6) AS similarity
+        FROM embeddings JOIN centroid USING (label) ORDER BY similarity DESC, vec_id""",
+    ),
     "cosine_topk": (
         _topk,
         f"""WITH v AS (SELECT vec_id, {_E} AS e FROM embeddings),

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_local_dirs: dict[str, str] = {}
+
 # Runtime settings every job here relies on: skewed shuffle partitions are split, small
-# partitions coalesced, and a join side is broadcast only after its size was measured.
+# partitions coalesced, and a join side is broadcast only after its size was measured. Where every
+# piece of the smaller side is small, rows of the wide side are not sorted for the join.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -29,15 +33,18 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is made and
-    recorded in the session, so later calls share it.
+    Only a local session that names none (tests on one machine) gets a temporary folder; on a
+    cluster a folder of the driver's machine would be out of the executors' reach.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="catalogrec-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="catalogrec-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
