@@ -134,7 +134,9 @@ def repair_mojibake(c: Column | str) -> Column:
         )
         return F.when(damaged, F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string")))
 
-    return F.coalesce(_let(F.translate(_col(c), visible, raw), decode), _col(c))
+    suspect = _col(c).rlike(rf"[\x{{c2}}-\x{{f4}}][\x{{80}}-\x{{bf}}{visible}]")
+    decoded = F.when(suspect, _let(F.translate(_col(c), visible, raw), decode))
+    return F.coalesce(decoded, _col(c))
 
 
 def unescape_entities(c: Column | str) -> Column:
@@ -220,11 +222,14 @@ def author_key(c: Column | str) -> Column:
 def truncate_words(c: Column | str, max_words: int) -> Column:
     """First ``max_words`` words followed by ``...``; shorter text is returned unchanged."""
     text = F.coalesce(_col(c), F.lit(""))
-    # The last part is the unsplit rest; it is empty when only whitespace follows.
     parts = F.split(F.regexp_replace(text, _LEADING_WHITESPACE, ""), WHITESPACE_RUN, max_words + 1)
-    shortened = F.concat(F.array_join(F.slice(parts, 1, max_words), " "), F.lit("..."))
-    longer = (F.size(parts) > max_words) & (F.get(parts, max_words) != "")
-    return F.when(longer, shortened).otherwise(text)
+
+    def shortened(p: Column) -> Column:
+        # The last part is the unsplit rest; it is empty when only whitespace follows.
+        longer = (F.size(p) > max_words) & (F.get(p, max_words) != "")
+        return F.when(longer, F.concat(F.array_join(F.slice(p, 1, max_words), " "), F.lit("...")))
+
+    return F.coalesce(_let(parts, shortened), text)
 
 
 # --- values out of free text -----------------------------------------------------------------

@@ -9,7 +9,7 @@ from ..operators.keywords import keyword_weights
 from ..operators.statistics import corpus_statistics
 from ..plans.catalog import build_catalog_from, step_counts
 from ..plans.recommend import already_read, exclude_read
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources.catalog_csv import (
     from_source_1,
     from_source_2,
@@ -44,9 +44,9 @@ def raw_source_1(spark, d):
 
 def raw_source_2(spark, d):
     """Documents titled by their first three words; every third source has no author."""
-    words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
+    words = F.split("text", r"\s+", 4)
     number = F.substring("source", 4, 10).cast("int")
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents", "doc_id", "text", "source", "lang").select(
         "doc_id",
         F.concat_ws(" ", F.slice(words, 1, 3)).alias("Title"),
         F.when(number % 3 != 0, F.concat(F.lit("By "), F.col("source"), F.lit(", X"))).alias("Authors"),
@@ -59,7 +59,7 @@ def raw_source_2(spark, d):
 def raw_source_3(spark, d):
     """Web pages: title tag, site as author, html as description."""
     site = F.regexp_extract("url", r"https?://([^/]+)/", 1)
-    return table(spark, d, "pages").select(
+    return texts(spark, d, "pages", "page_id", "url", "html").select(
         "page_id",
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.concat(site, F.lit(" (Site), Web")).alias("author"),
@@ -135,7 +135,7 @@ def merged(spark, d):
         from_source_2(raw_source_2(spark, d), F.col("doc_id")),
         from_source_3(raw_source_3(spark, d), F.col("page_id")),
     ]
-    return spread(merge_sources(frames), "book_id")
+    return merge_sources(frames)
 
 
 def _source_counts(spark, d):
