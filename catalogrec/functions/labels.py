@@ -125,8 +125,8 @@ MISSING_VALUE = "N/A"
 
 def genre_table(spark: SparkSession, mapping: dict[str, str] | None = None) -> DataFrame:
     """The category dictionary as a two-column dimension table."""
-    pairs = list((mapping or CATEGORY_GENRES).items())
-    return spark.createDataFrame(pairs, "category string, genre string")
+    cells = [F.lit(text) for pair in (mapping or CATEGORY_GENRES).items() for text in pair]
+    return spark.range(1).select(F.explode(F.create_map(*cells)).alias("category", "genre"))
 
 
 def with_genre(

@@ -55,16 +55,14 @@ def centroid_scores(
 
     Labels are ranked best first, ties by label, so rank 1 is the nearest-centroid prediction.
     """
-    names = profiles.select(label).distinct()
-    position = names.agg(F.array_sort(F.collect_list(label)).alias("all")).scalar()
-    numbered = profiles.withColumn("_pos", F.array_position(position, F.col(label)))
-    n_labels = names.count()
-    found = nearest(
-        rows, numbered, k=n_labels, left_id=id_col, right_id="_pos", left_vec=vec
-    )
+    # One entry per class: the labels become literals that number the centroids in label order.
+    names = [r[0] for r in profiles.select(label).orderBy(label).collect()]
+    listed = F.array(*[F.lit(n) for n in names])
+    numbered = profiles.withColumn("_pos", F.array_position(listed, F.col(label)))
+    found = nearest(rows, numbered, k=len(names), left_id=id_col, right_id="_pos", left_vec=vec)
     return found.select(
         F.col("left_id").alias(id_col),
-        F.get(position, (F.col("right_id") - 1).cast("int")).alias(label),
+        F.get(listed, (F.col("right_id") - 1).cast("int")).alias(label),
         F.col("similarity").alias("score"),
         "rank",
     )

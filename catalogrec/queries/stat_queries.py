@@ -143,13 +143,8 @@ def _cap(spark, d):
 
 
 def _split(spark, d):
-    return sampling.stratified_split(
-        table(spark, d, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.min("l_returnflag").alias("flag")),
-        "flag",
-        "l_orderkey",
-    )
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return sampling.stratified_split(orders, "o_orderpriority", "o_orderkey")
 
 
 def _min_support(spark, d):
@@ -235,9 +230,9 @@ QUERIES = {
     ),
     "stratified_split": (
         _split,
-        """WITH o AS (SELECT l_orderkey, min(l_returnflag) AS flag FROM lineitem GROUP BY l_orderkey)
-        SELECT l_orderkey, flag, row_number() OVER (PARTITION BY flag ORDER BY md5('42:' || l_orderkey), l_orderkey)
-          <= floor(count(*) OVER (PARTITION BY flag) * 0.25 + 0.5) AS is_test FROM o""",
+        """SELECT o_orderkey, o_orderpriority,
+          row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('42:' || o_orderkey), o_orderkey)
+          <= floor(count(*) OVER (PARTITION BY o_orderpriority) * 0.25 + 0.5) AS is_test FROM orders""",
     ),
     "min_support": (
         _min_support,
