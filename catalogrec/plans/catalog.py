@@ -41,6 +41,11 @@ def clean_columns(df: DataFrame, embedding_max_words: int = EMBEDDING_WORDS) ->
     )
 
 
+def clean_rows(merged: DataFrame, embedding_max_words: int = EMBEDDING_WORDS) -> DataFrame:
+    """De-duplicated, complete and cleaned rows of a merged table; all of the catalogue but keywords."""
+    return clean_columns(drop_incomplete(dedup_merge(merged)), embedding_max_words)
+
+
 def leak_free_text(max_words: int = BENCHMARK_WORDS):
     """Title and description without the genre, for judging how well text predicts it."""
     return F.concat_ws(" ", "title_clean", truncate_words("desc_clean", max_words))
@@ -59,11 +64,7 @@ def build_catalog_from(
     """
     spark = merged.sparkSession
     stage = stage or scratch_path(spark, "clean-rows")
-    rows = materialize(
-        spark,
-        stage,
-        lambda: clean_columns(drop_incomplete(dedup_merge(spread(merged, "book_id"))), embedding_max_words),
-    )
+    rows = materialize(spark, stage, lambda: clean_rows(spread(merged, "book_id"), embedding_max_words))
     keywords = extract_keywords(rows, text_col="desc_clean", stop_words=stop_words)
     return rows.join(keywords, "book_id", "left").withColumn(
         "keywords", F.array_join(F.coalesce("keywords", F.array().cast("array<string>")), ", ")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import dedup_merge
 from ..operators.keywords import keyword_weights
 from ..operators.statistics import corpus_statistics
-from ..plans.catalog import build_catalog_from, step_counts
+from ..plans.catalog import build_catalog_from, clean_rows, step_counts
 from ..plans.recommend import already_read, exclude_read
 from ..session import scratch_path
 from ..sources.catalog_csv import (
@@ -182,7 +182,7 @@ def _build_catalog(spark, d):
 
 
 def _corpus_stats(spark, d):
-    stats = corpus_statistics(catalog(spark, d))
+    stats = corpus_statistics(clean_rows(merged(spark, d)))
     return stats.select("metric", "key", F.round("value", 6).alias("value"))
 
 

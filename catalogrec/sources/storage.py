@@ -35,9 +35,11 @@ def write_json(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch to a history; writing the same batch again replaces it."""
-    df.write.mode("overwrite").json(f"{path.rstrip('/')}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
+    """Append one batch to a history; writing the same batch again replaces it. Returns its folder."""
+    folder = f"{path.rstrip('/')}/batch_id={batch_id}"
+    df.write.mode("overwrite").json(folder)
+    return folder
 
 
 def read_json_history(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:

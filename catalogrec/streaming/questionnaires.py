@@ -34,19 +34,21 @@ def answer_stream(
     """Answer each micro-batch and append to ``output``.
 
     Three histories are kept below ``output``: ``preferences``, ``rejected`` and ``results``. A
-    batch is written under its own id, so a batch replayed after a failure replaces its earlier
-    rows instead of doubling them.
+    batch is written under the stream's id (kept in its checkpoint) and its own number, so a batch
+    replayed after a failure replaces its earlier rows, and a new stream adds to the history.
     """
 
+    def stream_id(spark: SparkSession) -> str:
+        return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        own = f"stream={stream_id(batch.sparkSession)}"
         valid, rejected = split_valid(batch.dropDuplicates([id_col]))
-        write_batch(valid, f"{output}/preferences", batch_id)
-        write_batch(rejected, f"{output}/rejected", batch_id)
+        path = write_batch(valid, f"{output}/preferences/{own}", batch_id)
+        write_batch(rejected, f"{output}/rejected/{own}", batch_id)
         # The answers start from the written rows: the batch is not recomputed for them.
-        stored = batch.sparkSession.read.schema(valid.schema).json(
-            f"{output}/preferences/batch_id={batch_id}"
-        )
-        write_batch(answer(stored), f"{output}/results", batch_id)
+        stored = batch.sparkSession.read.schema(valid.schema).json(path)
+        write_batch(answer(stored), f"{output}/results/{own}", batch_id)
 
     writer = questionnaires.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if available_now:
