@@ -49,9 +49,14 @@ def centroids(df: DataFrame, label: str = "label", vec: str = "embedding") -> Da
 
 
 def centroid_scores(
-    rows: DataFrame, profiles: DataFrame, id_col: str, label: str = "label", vec: str = "embedding"
+    rows: DataFrame,
+    profiles: DataFrame,
+    id_col: str,
+    label: str = "label",
+    vec: str = "embedding",
+    best: int | None = None,
 ) -> DataFrame:
-    """(id, label, score, rank): similarity of every row to every centroid.
+    """(id, label, score, rank): similarity of every row to every centroid, or to the ``best`` ones.
 
     Labels are ranked best first, ties by label, so rank 1 is the nearest-centroid prediction.
     """
@@ -59,7 +64,7 @@ def centroid_scores(
     names = [r[0] for r in profiles.select(label).orderBy(label).collect()]
     listed = F.array(*[F.lit(n) for n in names])
     numbered = profiles.withColumn("_pos", F.array_position(listed, F.col(label)))
-    found = nearest(rows, numbered, k=len(names), left_id=id_col, right_id="_pos", left_vec=vec)
+    found = nearest(rows, numbered, k=best or len(names), left_id=id_col, right_id="_pos", left_vec=vec)
     return found.select(
         F.col("left_id").alias(id_col),
         F.get(listed, (F.col("right_id") - 1).cast("int")).alias(label),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Leading hex digits of the hash that form a bucket when ranks are located.
 _BUCKET_DIGITS = 3
+# Groups of tasks whose rows are cut to the cap before the final cut.
+_TASK_GROUPS = 64
 
 
 def hash_order(id_col: str, seed: int) -> Column:
@@ -15,14 +17,20 @@ def hash_order(id_col: str, seed: int) -> Column:
 
 
 def stratified_cap(df: DataFrame, label: str, id_col: str, cap: int = 400, seed: int = 42) -> DataFrame:
-    """At most ``cap`` rows per label; each task keeps ``cap`` rows per label before the shuffle."""
-    order = Window.partitionBy(label).orderBy("_h", id_col)
-    return (
-        df.withColumn("_h", hash_order(id_col, seed))
-        .withColumn("_r", F.row_number().over(order))
-        .where(F.col("_r") <= cap)
-        .drop("_h", "_r")
-    )
+    """At most ``cap`` rows per label, the first ones in hash order.
+
+    Each task keeps ``cap`` rows per label before the shuffle. A label spread over very many tasks
+    is still too much for one of them, so groups of tasks are cut to ``cap`` first and their
+    survivors second; the first rows of a whole are among the first rows of its parts.
+    """
+    tasks = F.pmod(F.spark_partition_id(), F.lit(_TASK_GROUPS))
+    parts = df.withColumn("_h", hash_order(id_col, seed)).withColumn("_g", tasks)
+
+    def cut(rows: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy("_h", id_col)
+        return rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= cap).drop("_r")
+
+    return cut(cut(parts, label, "_g"), label).drop("_h", "_g")
 
 
 def min_support(df: DataFrame, label: str, n: int = 100) -> DataFrame:

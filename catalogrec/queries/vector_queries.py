@@ -313,18 +313,15 @@ def _pick_sql(source: str, score: str) -> str:
     )
 
 
-def _scores(spark, d):
-    train, test = split_vectors(spark, d)
-    return classify.centroid_scores(test, classify.centroids(train), "vec_id")
-
-
 def _votes(spark, d):
     train, test = split_vectors(spark, d)
     return classify.knn_votes(test, train, "vec_id")
 
 
 def _centroid_predict(spark, d):
-    return classify.centroid_predict(_scores(spark, d), "vec_id")
+    train, test = split_vectors(spark, d)
+    scores = classify.centroid_scores(test, classify.centroids(train), "vec_id", best=1)
+    return classify.centroid_predict(scores, "vec_id")
 
 
 def _knn_predict(spark, d):
