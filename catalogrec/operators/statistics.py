@@ -183,19 +183,14 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
     One pass for the moments; the quartiles of all columns are narrowed down together.
     """
+    def number(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.when(~F.isnan(v), v)
+
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[F.struct(*[f(number(c)).alias(m) for m, f in measures.items()]).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    moments = {i: row[f"m{i}"] for i in range(len(columns)) if row[f"m{i}"]["count"]}
     values = _series(df, [F.col(c) for c in columns])
-    moments = {
-        r["series"]: r
-        for r in values.groupBy("series")
-        .agg(
-            F.count("v").alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
-        .collect()
-    }
     probs = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
     found = _quantiles(values, {i: (r["count"], r["min"], r["max"]) for i, r in moments.items()}, list(probs.values()))
     rows = []
