@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 # Runtime settings every job here relies on: skewed shuffle partitions are split, small
 # partitions coalesced, and a join side is broadcast only after its size was measured. Where every
@@ -24,12 +27,30 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the runtime (non-static) options on an existing session."""
+    """Set the runtime (non-static) options on an existing session and ship this package to it."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    _ship_package(spark)
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application.
+
+    Tasks that run Python import it, whatever folder the driver was started from.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="catalogrec-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
