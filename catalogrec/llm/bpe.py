@@ -173,13 +173,13 @@ class Encoder:
         """Bytes of each text: its ids meet the token table and the bytes are put in order of position."""
         coded = pa.table({"pos": np.arange(sum(map(len, ids)), dtype=np.int32), "token": np.concatenate(ids)})
         self.db.register("coded", coded)
-        ordered = self.db.sql(
-            "select t.bytes, octet_length(t.bytes) as size from coded c join tokens t using (token) order by c.pos"
-        ).to_arrow_table()
+        ordered = self.db.sql("select t.bytes from coded c join tokens t using (token) order by c.pos").to_arrow_table()
         self.db.unregister("coded")
-        sizes = np.asarray(ordered["size"], np.int64)
-        joined = b"".join(ordered["bytes"].to_pylist())
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *map(len, ids)])]
+        # The bytes of an Arrow column lie behind each other already; only the bounds are needed.
+        parts = pa.concat_arrays([c.cast(pa.large_binary()) for c in ordered["bytes"].chunks] or [pa.array([], pa.large_binary())])
+        bounds = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1] if len(parts) else np.zeros(1, np.int64)
+        joined = parts.buffers()[2].to_pybytes() if len(parts) else b""
+        ends = bounds[np.cumsum([0, *map(len, ids)])]
         return [joined[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 

@@ -6,11 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
+from .collisions import near_vectors
 from .common import held_out, table
+from .forest import nearest_neighbours
 from .langid import identify_language, language_profiles
 from .mixing import mix
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP1_SQL = """
+with recursive usable as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), unit as (
+  select vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as u from usable
+), links as (
+  select a.vec_id as a, b.vec_id as b from unit a join unit b on a.vec_id <> b.vec_id and list_inner_product(a.u, b.u) >= 0.9
+), reach(node, other) as (
+  select a, b from links union select r.node, l.b from reach r join links l on r.other = l.a
+)
+select e.vec_id, (select count(*) from links where a = e.vec_id) as n_links,
+       least(e.vec_id, coalesce((select min(other) from reach where node = e.vec_id), e.vec_id)) as component_id,
+       e.vec_id <= coalesce((select min(other) from reach where node = e.vec_id), e.vec_id) as kept
+from embeddings e
+"""
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -72,6 +101,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_vectors": (op1_near_vectors, OP1_SQL),
+    "op3_neighbours": (op3_neighbours, None),
     "op4_bpe": (op4_bpe, None),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op9_language": (op9_language, None),
