@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .bpe import bpe_encode
 from .collisions import near_vectors
 from .common import held_out, table
+from .extraction import extract_main_text
 from .forest import nearest_neighbours
 from .langid import identify_language, language_profiles
 from .mixing import mix
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +38,14 @@ from embeddings e
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id", 4, 2))
+    model = fit_toxicity(docs, labels, "toxic")
+    scored = score_toxicity(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, keep=["doc_id", "held_out"], threshold=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
@@ -100,12 +110,19 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_near_vectors": (op1_near_vectors, OP1_SQL),
+    "op2_toxicity": (op2_toxicity, None),
     "op3_neighbours": (op3_neighbours, None),
     "op4_bpe": (op4_bpe, None),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op9_language": (op9_language, None),
+    "op10_extraction": (op10_extraction, None),
 }
 
 
