@@ -12,6 +12,7 @@ from .extraction import extract_main_text
 from .forest import nearest_neighbours
 from .langid import identify_language, language_profiles
 from .mixing import mix
+from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -61,6 +62,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out("doc_id", 4, 2))
+    model = fit_quality(docs, labels, "quality")
+    scored = score_quality(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, keep=["doc_id", "held_out"], threshold=0.7)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -120,6 +129,7 @@ QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_neighbours": (op3_neighbours, None),
     "op4_bpe": (op4_bpe, None),
+    "op5_quality": (op5_quality, None),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
