@@ -10,6 +10,7 @@ from .collisions import near_vectors
 from .common import held_out, table
 from .extraction import extract_main_text
 from .forest import nearest_neighbours
+from .jaccard import jaccard_classes
 from .langid import identify_language, language_profiles
 from .mixing import mix
 from .quality import fit_quality, score_quality
@@ -111,6 +112,36 @@ from placed p join needs n on p.source is not distinct from n.source
 """
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
+OP7_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') as w from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then []
+                      when len(w) < 5 then [array_to_string(w, ' ')]
+                      else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end as g
+  from words
+), elements as (
+  select doc_id, len(g) as n, unnest(g) as e from sets
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as shared
+  from elements a join elements b on a.e = b.e and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+), links as (
+  select a, b from pairs where 100 * shared >= 80 * (n + m - shared)
+), reach(node, other) as (
+  select a, b from links union select r.node, l.b from reach r join links l on r.other = l.a
+)
+select s.doc_id, len(g)::bigint as n_shingles,
+       least(s.doc_id, coalesce((select min(other) from reach where node = s.doc_id), s.doc_id)) as component_id
+from sets s
+"""
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", held_out("doc_id", 3, 1))
@@ -131,6 +162,7 @@ QUERIES = {
     "op4_bpe": (op4_bpe, None),
     "op5_quality": (op5_quality, None),
     "op6_mixing": (op6_mixing, OP6_SQL),
+    "op7_jaccard": (op7_jaccard, OP7_SQL),
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
 }
