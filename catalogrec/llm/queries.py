@@ -15,6 +15,7 @@ from .langid import identify_language, language_profiles
 from .mixing import mix
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
+from .transducer import count_tokens
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +121,8 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') as w from documents
+                                    '[^ 	-
+]+') as w from documents
 ), sets as (
   select doc_id, case when len(w) = 0 then []
                       when len(w) < 5 then [array_to_string(w, ' ')]
@@ -142,6 +144,17 @@ from sets s
 """
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path(PIECE_MODEL), keep=["doc_id"], limit=4096)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", held_out("doc_id", 3, 1))
@@ -163,6 +176,7 @@ QUERIES = {
     "op5_quality": (op5_quality, None),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op7_jaccard": (op7_jaccard, OP7_SQL),
+    "op8_token_counts": (op8_token_counts, None),
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
 }
