@@ -24,7 +24,7 @@ from .components import components
 from .vectors import clean_vectors, widths
 
 LINES = 64
-MISSED = 1e-7
+MISSED = 1e-6
 BLOCK_ROWS = 4096
 _QUERIES = 128
 _SEED = 20_231_117
@@ -53,13 +53,13 @@ def _collisions(queries: np.ndarray, order: np.ndarray, sorted_at: np.ndarray, h
     """
     out[:] = 0
     shifted = np.empty(out.shape, np.uint16)
-    inside = np.empty(out.shape, bool)
+    inside = np.empty(out.shape, np.uint8)
     for line in range(queries.shape[1]):
         low = np.searchsorted(sorted_at[line], queries[:, line] - half, "left").astype(np.uint16)
         high = np.searchsorted(sorted_at[line], queries[:, line] + half, "right").astype(np.uint16)
         np.subtract(order[line][None, :], low[:, None], out=shifted)
-        np.less(shifted, (high - low)[:, None], out=inside)
-        np.add(out, inside, out=out, casting="unsafe")
+        np.less(shifted, (high - low)[:, None], out=inside.view(bool))
+        np.add(out, inside, out=out)
 
 
 class _Forest:
@@ -95,6 +95,7 @@ def _tile(threshold: float, width: int):
             return empty
         x, y = np.stack(left["embedding"]), np.stack(right["embedding"])
         xs, ys = (v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None] for v in (x, y))
+        rough_x, rough_y = xs.astype(np.float32), ys.astype(np.float32)
         px, py = xs @ lines, ys @ lines
         places = np.argsort(py, axis=0, kind="stable")
         order = np.empty((LINES, len(y)), np.uint16)
@@ -116,6 +117,9 @@ def _tile(threshold: float, width: int):
                 i, j = i[i < j], j[i < j]
             for part in range(0, len(i), 1 << 16):
                 a, b = i[part : part + (1 << 16)], j[part : part + (1 << 16)]
+                # Single precision only puts aside what is clearly below; the rest is decided in double.
+                near = np.einsum("ij,ij->i", rough_x[a], rough_y[b]) >= threshold - 1e-4
+                a, b = a[near], b[near]
                 near = np.einsum("ij,ij->i", xs[a], ys[b]) >= threshold
                 a, b = a[near], b[near]
                 np.add.at(links_x, a, copies_y[b])
