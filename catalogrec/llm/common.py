@@ -31,7 +31,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared scratch folder and read them back, which cuts the lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables written by ``cut`` that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def arrow_rows(

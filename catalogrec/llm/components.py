@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(least, "u")
         small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-        links = cut(small.distinct(), "edges")
+        links, done = cut(small.distinct(), "edges"), links
+        discard(done)
     found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
