@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,9 +38,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove tables written by ``cut`` that nothing reads any more."""
+    """Remove tables written by ``cut`` that nothing reads any more, and shuffle files behind them.
+
+    Spark removes the files of a shuffle when the driver's garbage collector finds it unused.
+    """
+    gc.collect()
     for df in tables:
         jvm = df.sparkSession._jvm
+        jvm.System.gc()
         path = jvm.org.apache.hadoop.fs.Path(df.scratch)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
