@@ -253,14 +253,34 @@ def to_number(c: Column | str) -> Column:
 
 
 def list_items(c: Column | str) -> Column:
-    """Items of a list written as text (``['a', "b"]``); null when empty or malformed."""
-    text = F.regexp_replace(strip(c), r",\s*\]\z", "]")
-    items = F.from_json(
-        text,
-        "array<string>",
-        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
-    )
-    return F.when(text.startswith("[") & (F.size(items) > 0), items)
+    """Items of a list written as text (``['a', "b", None]``); null when empty or malformed.
+
+    Items are quoted texts with backslash escapes, or bare words and numbers, which stand for
+    themselves. The whole text must be one list: anything before or behind it makes it malformed.
+    """
+    return _let(strip(c), _parsed_list)
+
+
+# A quoted text in either kind of quotes, or a bare word.
+_LIST_ITEM = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^\s,'"\[\]{}()]+"""
+
+
+def _parsed_list(text: Column) -> Column:
+    well_formed = text.rlike(rf"(?s)\A\[\s*(?:{_LIST_ITEM})(?:\s*,\s*(?:{_LIST_ITEM}))*\s*,?\s*\]\z")
+    items = F.regexp_extract_all(text, F.lit(f"(?s){_LIST_ITEM}"), F.lit(0))
+
+    def as_json(item: Column) -> Column:
+        quoted = item.rlike(r"\A['\"]")
+        inner = F.when(quoted, F.substring(item, F.lit(2), F.length(item) - 2)).otherwise(item)
+        inner = F.regexp_replace(inner, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+        inner = F.regexp_replace(inner, r"(?<!\\)((?:\\\\)*)\\'", "$1'")
+        inner = F.regexp_replace(inner, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')
+        inner = F.regexp_replace(inner, r"\n", r"\\n")
+        return F.concat(F.lit('"'), F.regexp_replace(inner, r"\t", r"\\t"), F.lit('"'))
+
+    joined = F.concat(F.lit("["), F.array_join(F.transform(items, as_json), ","), F.lit("]"))
+    parsed = F.from_json(joined, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
+    return F.when(well_formed & (F.size(parsed) > 0), parsed)
 
 
 def list_text(c: Column | str) -> Column:

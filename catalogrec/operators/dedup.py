@@ -78,8 +78,13 @@ def dedup_merge(
 
 
 def _short(name: str, dtype: str) -> Column:
-    """The value itself, or the SHA-256 of a text of 64 characters or more (never as short)."""
-    c = F.col(name)
+    """The value itself, or the SHA-256 of a text of 64 characters or more (never as short).
+
+    Values with maps in them, which cannot be grouped, are compared as JSON.
+    """
+    c = F.col(f"`{name}`")
+    if "map<" in dtype:
+        return F.to_json(F.struct(F.map_entries(c).alias("m") if dtype.startswith("map<") else c))
     return F.when(F.length(c) >= 64, F.sha2(c, 256)).otherwise(c) if dtype == "string" else c
 
 

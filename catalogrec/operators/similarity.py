@@ -7,6 +7,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 SMALL_SIDE_BYTES = 64 << 20
 # Cells of one similarity block held in a task.
 _BLOCK_CELLS = 1 << 22
+# Partitions per core into which the larger side is gathered before it is scanned.
+_SCANS_PER_CORE = 4
 # Scores equal to this many decimals are ties and resolve by id.
 SCORE_DECIMALS = 9
 
@@ -34,15 +37,17 @@ class VectorBlock:
     def __len__(self) -> int:
         return len(self.ids)
 
-    def key_rows(self) -> dict[str, np.ndarray]:
-        """Exclusion key -> positions of the rows that carry it."""
-        if self.keys.null_count == len(self.keys):
-            return {}
-        parents = np.asarray(self.keys.value_parent_indices())
-        positions: dict[str, list[int]] = {}
-        for key, row in zip(self.keys.flatten().to_pylist(), parents):
-            positions.setdefault(key, []).append(row)
-        return {key: np.array(rows) for key, rows in positions.items()}
+    def coded_keys(self, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place in ``known``) of the exclusion keys that are in ``known``, ascending by row."""
+        if self.keys.null_count == len(self.keys) or not len(known):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        codes = pc.index_in(self.keys.flatten(), value_set=known)
+        hit = np.asarray(codes.is_valid())
+        rows = np.asarray(self.keys.value_parent_indices()).astype(np.int64)[hit]
+        return rows, np.asarray(codes.filter(codes.is_valid())).astype(np.int64)
+
+    def distinct_keys(self) -> pa.Array:
+        return self.keys.flatten().unique().drop_null()
 
 
 def _combined(column) -> pa.Array:
@@ -61,47 +66,50 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[keep], cols[keep]
 
 
-def _block_scores(
-    left: VectorBlock, right: VectorBlock, span: slice, left_keys: dict, right_keys: dict
-) -> np.ndarray:
-    """Rounded similarities of left[span] x right, excluded pairs at minus infinity."""
-    scores = np.round(left.unit[span] @ right.unit.T, SCORE_DECIMALS) + 0.0
-    smaller, larger = sorted((left_keys, right_keys), key=len)
-    for key in smaller:
-        if key in larger:
-            rows = left_keys[key]
-            rows = rows[(rows >= span.start) & (rows < span.stop)] - span.start
-            scores[np.ix_(rows, right_keys[key])] = -np.inf
-    return scores
+class _Excluded:
+    """Cells of a similarity block that share a key, found span by span without a loop over keys."""
+
+    def __init__(self, left: VectorBlock, right: VectorBlock, known: pa.Array):
+        self._rows, self._codes = left.coded_keys(known)
+        places, codes = right.coded_keys(known)
+        order = np.argsort(codes, kind="stable")
+        self._places = places[order]
+        self._starts = np.searchsorted(codes[order], np.arange(len(known) + 1))
+
+    def mask(self, scores: np.ndarray, begin: int) -> None:
+        low, high = np.searchsorted(self._rows, [begin, begin + len(scores)])
+        first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
+        counts = last - first
+        total = counts.sum()
+        if total:
+            rows = np.repeat(self._rows[low:high] - begin, counts)
+            cells = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+            scores[rows, self._places[cells]] = -np.inf
 
 
-def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, left_keys=None, right_keys=None):
-    """(left ids, right ids, scores) of the k best right rows of each left row."""
+def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.Array):
+    """(left ids, right ids, scores) of the k best right rows of each left row.
+
+    ``known`` lists the keys of one side: other keys exclude nothing.
+    """
     if not len(left) or not len(right):
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, np.empty(0)
-    by_id = np.argsort(right.ids, kind="stable")
-    right_sorted = _take(right, by_id)
-    left_keys = left.key_rows() if left_keys is None else left_keys
-    right_keys = right.key_rows() if right_keys is None else right_keys
-    if left_keys and right_keys:
-        position = np.argsort(by_id)
-        right_keys = {key: position[rows] for key, rows in right_keys.items() if key in left_keys}
-    else:
-        left_keys, right_keys = {}, {}
+    right = _take(right, np.argsort(right.ids, kind="stable"))
+    excluded = _Excluded(left, right, known)
     step = max(1, _BLOCK_CELLS // len(right))
     found = []
     for start in range(0, len(left), step):
-        span = slice(start, min(start + step, len(left)))
-        scores = _block_scores(left, right_sorted, span, left_keys, right_keys)
+        scores = np.round(left.unit[start : start + step] @ right.unit.T, SCORE_DECIMALS) + 0.0
+        excluded.mask(scores, start)
         rows, cols = _best(scores, k)
-        found.append((left.ids[rows + start], right_sorted.ids[cols], scores[rows, cols]))
+        found.append((left.ids[rows + start], right.ids[cols], scores[rows, cols]))
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
 def _take(block: VectorBlock, order: np.ndarray) -> VectorBlock:
     taken = object.__new__(VectorBlock)
-    taken.ids, taken.unit, taken.keys = block.ids[order], block.unit[order], None
+    taken.ids, taken.unit, taken.keys = block.ids[order], block.unit[order], block.keys.take(pa.array(order))
     return taken
 
 
@@ -135,8 +143,23 @@ def _side(df: DataFrame, id_col: str, vec_col: str, keys_col: str | None) -> Dat
     )
 
 
-def _measure(side: DataFrame) -> int:
-    """Bytes of a side: eight per vector cell plus the text of its keys."""
+def unique_rows(df: DataFrame, id_col: str) -> DataFrame:
+    """One row per id: of several the smallest by its columns in order, nulls first."""
+    rest = [c for c in df.columns if c != id_col]
+    one = df.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_one"))
+    return one.select(*[F.col(c) if c == id_col else F.col(f"_one.{c}").alias(c) for c in df.columns])
+
+
+def _measure(side: DataFrame, limit: int) -> int:
+    """Bytes of a side: eight per vector cell plus the text of its keys.
+
+    A side whose plan already promises many times the limit is not read to be measured.
+    """
+    plan = side._jdf.queryExecution().optimizedPlan()
+    planned = int(str(plan.stats().sizeInBytes()))
+    # Estimates of joins multiply their sides and promise nothing.
+    if "Relation" in plan.toString() and "Join" not in plan.toString() and planned > 64 * limit:
+        return planned
     key_text = F.aggregate(F.coalesce("keys", F.array().cast("array<string>")), F.lit(0), lambda n, k: n + F.length(k))
     return side.agg(F.sum(F.size("vec").cast("long") * 8 + key_text)).first()[0] or 0
 
@@ -152,10 +175,12 @@ def nearest(
     left_keys: str | None = None,
     right_keys: str | None = None,
     small_side_bytes: int = SMALL_SIDE_BYTES,
+    unique_left: bool = False,
 ) -> DataFrame:
     """(left_id, right_id, similarity, rank): the k most similar right rows of each left row.
 
-    Pairs whose key arrays share a value are skipped (already-read exclusion). All pairs are
+    A left id that occurs on several rows is asked once, with the smallest vector among them (set
+    ``unique_left`` where ids are known to be unique, which saves a shuffle). Pairs whose key arrays share a value are skipped (already-read exclusion). All pairs are
     scored as blocked matrix products inside Arrow batches; only top-k rows leave a task. One of
     three exact ways is taken after measuring the sides:
 
@@ -167,35 +192,39 @@ def nearest(
       cut by row id, so no group depends on the data's keys.
     """
     lhs = _side(left, left_id, left_vec, left_keys)
+    if not unique_left:
+        lhs = unique_rows(lhs, "id")
     rhs = _side(right, right_id, right_vec, right_keys)
     context = left.sparkSession.sparkContext
-    right_bytes = _measure(rhs)
+    right_bytes = _measure(rhs, small_side_bytes)
     if right_bytes <= small_side_bytes:
         shared = context.broadcast(rhs.toArrow())
 
         def finish_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = VectorBlock(shared.value)
-            keys = block.key_rows()
+            known = block.distinct_keys()
             for batch in batches:
-                yield _batch(_nearest_in_block(VectorBlock(batch), block, k, right_keys=keys))
+                yield _batch(_nearest_in_block(VectorBlock(batch), block, k, known))
 
         return lhs.mapInArrow(finish_left, _RESULT)
 
-    left_bytes = _measure(lhs)
+    left_bytes = _measure(lhs, small_side_bytes)
     if left_bytes <= small_side_bytes:
         shared = context.broadcast(lhs.toArrow())
 
         def scan_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = VectorBlock(shared.value)
-            keys = block.key_rows()
+            known = block.distinct_keys()
             best = None
             for batch in batches:
-                parts = _nearest_in_block(block, VectorBlock(batch), k, left_keys=keys)
+                parts = _nearest_in_block(block, VectorBlock(batch), k, known)
                 best = parts if best is None else _keep_best(best, parts, k)
             if best is not None:
                 yield _batch(best)
 
-        return _ranked(rhs.mapInArrow(scan_right, _RESULT), k)
+        # A few scans per core, so that few candidates per left row reach the ranking.
+        scans = rhs.coalesce(_SCANS_PER_CORE * context.defaultParallelism)
+        return _ranked(scans.mapInArrow(scan_right, _RESULT), k)
 
     found = _fragment_and_replicate(
         lhs, ceil(left_bytes / small_side_bytes), rhs, ceil(right_bytes / small_side_bytes), k
@@ -225,7 +254,8 @@ def _fragment_and_replicate(
     grid_right = pieces(rhs, "rp", n_right, "lp", n_left).groupBy("lp", "rp")
 
     def meet(l: pa.Table, r: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_batch(_nearest_in_block(VectorBlock(l), VectorBlock(r), k))])
+        left = VectorBlock(l)
+        return pa.Table.from_batches([_batch(_nearest_in_block(left, VectorBlock(r), k, left.distinct_keys()))])
 
     return grid_left.cogroup(grid_right).applyInArrow(meet, _RESULT)
 

@@ -21,7 +21,7 @@ from ..functions.questionnaire import (
 )
 from ..functions.vectors import axis_level, cosine, weighted_score
 from ..operators.encoder import encode_text, fit_encoder
-from ..operators.similarity import nearest
+from ..operators.similarity import nearest, unique_rows
 from ..session import scratch_path
 from ..sources.storage import materialize
 
@@ -104,11 +104,13 @@ def rank_books(
 
     ``questions`` needs query_id, embedding, favorite_books and the Likert columns; ``vectors``
     needs book_id, embedding and read_keys. The Likert part of the score is one number per
-    question, so ranking by similarity is ranking by score, and it is added to winners only.
+    question, so ranking by similarity is ranking by score, and it is added to winners only. A
+    ``query_id`` on several rows is one question, the smallest row by its columns in order.
     """
+    questions = unique_rows(questions, "query_id")
     asked = questions.withColumn("_fav", favourite_keys("favorite_books"))
     found = nearest(
-        asked, vectors, k, "query_id", "book_id", left_keys="_fav", right_keys="read_keys", **options
+        asked, vectors, k, "query_id", "book_id", left_keys="_fav", right_keys="read_keys", unique_left=True, **options
     )
     likert = questions.select(F.col("query_id").alias("left_id"), likert_mean().alias("_likert"))
     score = weighted_score(F.col("similarity"), F.col("_likert"))

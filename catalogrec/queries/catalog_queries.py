@@ -227,8 +227,10 @@ def _csv_sources(spark, d):
 
 
 def _csv_inferred(spark, d):
+    """Orders as CSV with missing cells in a number column, types inferred on reading."""
     path = scratch_path(spark, "csv-inferred")
-    table(spark, d, "orders").drop("o_orderdate").write.option("header", True).csv(path)
+    price = F.when(F.col("o_orderkey") % 5 == 0, F.lit("NA")).otherwise(F.col("o_totalprice").cast("string"))
+    table(spark, d, "orders").withColumn("o_totalprice", price).write.option("header", True).csv(path)
     return read_csv(spark, path, infer=True).withColumns(
         {"o_orderkey": F.col("o_orderkey").cast("long"), "o_custkey": F.col("o_custkey").cast("long")}
     )
@@ -304,7 +306,8 @@ QUERIES = {
     ),
     "csv_inferred": (
         _csv_inferred,
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+        """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS o_totalprice,
+        CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority FROM orders""",
     ),
     "already_read": (
         _already_read,

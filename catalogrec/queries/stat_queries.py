@@ -98,7 +98,7 @@ def _drop_dups(spark, d):
 
 def _profile(spark, d):
     """All scalar measures of the profile of ``orders`` as (table, key, value)."""
-    tables = profile(table(spark, d, "orders").drop("o_orderdate"), ["o_orderpriority"])
+    tables = profile(table(spark, d, "orders"), ["o_orderpriority"])
     shaped = [
         tables["row_count"].select(F.lit("row_count").alias("part"), F.lit("").alias("key"), F.col("n_rows").cast("double").alias("value")),
         tables["columns"].select(F.lit("columns").alias("part"), F.col("column").alias("key"), F.col("n_present").cast("double").alias("value")),
@@ -112,7 +112,7 @@ def _profile(spark, d):
 
 
 def _profile_sql() -> str:
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     numeric = ["o_orderkey", "o_custkey", "o_totalprice"]
     rows = [("row_count", "", "count(*)")]
     rows += [("columns", c, f"count({c})") for c in columns]

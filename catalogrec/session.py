@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Logical operators that are carried out with an exchange.
+_EXCHANGING = re.compile(r"^[\s:+|-]*(Join|Aggregate|Repartition\w*|Sort|Window|GlobalLimit|Distinct|RebalancePartitions|FlatMap\w+)\b", re.MULTILINE)
+
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -78,7 +82,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     Files that cannot be split (quoted CSV with line breaks, one Parquet row group) would leave
     the cluster idle behind a few tasks. Splittable inputs already have more partitions than
-    cores and pass through unchanged, without a shuffle.
+    cores and pass through unchanged, without a shuffle. So does an input whose plan holds an
+    exchange: its partitions are known only after running it.
     """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if _EXCHANGING.search(plan):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

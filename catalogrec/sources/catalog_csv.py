@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_number, extract_year, list_text, to_number
@@ -65,24 +65,94 @@ def missing_to_null(df: DataFrame, tokens: list[str] | None = None) -> DataFrame
     )
 
 
-def read_csv(
-    spark: SparkSession, path: str, encoding: str = "UTF-8", infer: bool = False, multi_line: bool = True
-) -> DataFrame:
-    """A CSV file with header and doubled quotes; all columns STRING unless ``infer``.
+# Types tried for a text column, the first that all its cells fit.
+_INFERRED = ("int", "bigint", "double", "boolean", "date", "timestamp")
 
-    Text may hold line breaks inside quotes (``multi_line``), which makes a file unsplittable:
-    store large catalogues as several files, or as Parquet after the first read.
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Cast every text column to the first of some types that all its present cells fit.
+
+    Missing cells are null by now and fit any type; a column without a present cell stays STRING.
+    Dates must be written as such, without a time. One aggregation looks at all columns.
     """
-    df = (
+    named = [c for c, t in df.dtypes if t == "string"]
+    if not named:
+        return df
+    fits = []
+    for i, c in enumerate(named):
+        cell = F.trim(F.col(f"`{c}`"))
+        fits.append(F.count(cell).alias(f"n{i}"))
+        for t in _INFERRED:
+            fit = cell.try_cast(t).isNotNull()
+            if t == "double":  # a bare 1f or 1d is no number in a file
+                fit = fit & ~cell.rlike("[dDfF]$")
+            if t == "boolean":
+                fit = F.lower(cell).isin("true", "false")
+            if t == "date":
+                fit = fit & cell.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}\z")
+            if t == "timestamp":
+                fit = fit & cell.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}[T ]")
+            fits.append(F.count(F.when(fit, 1)).alias(f"{t}{i}"))
+    found = df.agg(*fits).first()
+    types = {
+        c: next((t for t in _INFERRED if found[f"n{i}"] and found[f"{t}{i}"] == found[f"n{i}"]), "string")
+        for i, c in enumerate(named)
+    }
+    return df.select(
+        *[
+            F.trim(F.col(f"`{c}`")).cast(types[c]).alias(c) if types.get(c, "string") != "string" else F.col(f"`{c}`")
+            for c in df.columns
+        ]
+    )
+
+
+def _csv_reader(spark: SparkSession, encoding: str, multi_line: bool) -> DataFrameReader:
+    return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", encoding)
-        .option("inferSchema", infer)
-        .csv(path)
     )
-    return missing_to_null(df)
+
+
+def read_csv(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", infer: bool = False, multi_line: bool = True
+) -> DataFrame:
+    """A CSV file with header and doubled quotes; all columns STRING unless ``infer``.
+
+    With ``infer`` a column's type is decided after missing tokens have become null. Text may hold
+    line breaks inside quotes (``multi_line``), which makes a file unsplittable: store large catalogues
+    as several files, or as Parquet after the first read.
+    """
+    df = missing_to_null(_csv_reader(spark, encoding, multi_line).csv(path))
+    return infer_types(df) if infer else df
+
+
+ROW_ID = "_row_id"
+
+
+def read_numbered_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """``read_csv`` with the place of each row in ``ROW_ID``: files in order of path, rows as in the file.
+
+    Spark deals files over partitions by size, so the number a row has in its partition is only an
+    order inside its piece of a file. Pieces are counted in a first pass (one row per piece), and
+    what lies before a piece is added to the place in it. The ids do not depend on how files are dealt.
+    """
+    # Both passes read the same columns, so that both see the same pieces.
+    read = _csv_reader(spark, encoding, multi_line).csv(path).withColumns(
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_at": F.monotonically_increasing_id(),
+        }
+    )
+    pieces = read.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = read.join(pieces, ["_file", "_block"])
+    numbered = placed.withColumn(ROW_ID, F.col("_before") + F.col("_at") - F.col("_first"))
+    return missing_to_null(numbered.drop("_file", "_block", "_at", "_first", "_before"))
 
 
 def conform(df: DataFrame, columns: dict[str, Column], source: str, rank: int, row_id: Column | None = None) -> DataFrame:
@@ -133,15 +203,15 @@ def from_source_3(df: DataFrame, row_id: Column | None = None) -> DataFrame:
 
 
 def load_source_1(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_1(read_csv(spark, path, "ISO-8859-1"))
+    return from_source_1(read_numbered_csv(spark, path, "ISO-8859-1"), F.col(ROW_ID))
 
 
 def load_source_2(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_2(read_csv(spark, path))
+    return from_source_2(read_numbered_csv(spark, path), F.col(ROW_ID))
 
 
 def load_source_3(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_3(read_csv(spark, path))
+    return from_source_3(read_numbered_csv(spark, path), F.col(ROW_ID))
 
 
 def merge_sources(frames: list[DataFrame]) -> DataFrame:

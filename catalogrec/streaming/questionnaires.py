@@ -35,7 +35,9 @@ def answer_stream(
 
     Three histories are kept below ``output``: ``preferences``, ``rejected`` and ``results``. A
     batch is written under the stream's id (kept in its checkpoint) and its own number, so a batch
-    replayed after a failure replaces its earlier rows, and a new stream adds to the history.
+    replayed after a failure replaces its earlier rows, and a new stream adds to the history. Of
+    several rows of one batch with the same id the smallest by its columns is answered, so a replay
+    answers the same one; an id that comes back in a later batch is a new question.
     """
 
     def stream_id(spark: SparkSession) -> str:
@@ -43,7 +45,7 @@ def answer_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         own = f"stream={stream_id(batch.sparkSession)}"
-        valid, rejected = split_valid(batch.dropDuplicates([id_col]))
+        valid, rejected = split_valid(unique_rows(batch, id_col))
         path = write_batch(valid, f"{output}/preferences/{own}", batch_id)
         write_batch(rejected, f"{output}/rejected/{own}", batch_id)
         # The answers start from the written rows: the batch is not recomputed for them.

@@ -313,3 +313,61 @@ def test_title_verification(spark):
     catalog = spark.createDataFrame([(" a ",), ("A",), (None,)], "title string")
     got = {r.query_id: tuple(r)[1:] for r in verify_titles(df, catalog, "query_id").collect()}
     assert got == {1: (2, 3, 33.3), 2: (0, 0, None), 3: (0, 1, 100.0)}
+
+
+@pytest.mark.parametrize("small_side_bytes", [1 << 26, 2000, 200])
+def test_nearest_asks_a_repeated_id_once(spark, small_side_bytes):
+    """All three ways agree, whichever side is small."""
+    left = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0])]
+    right = [(i, [float(i), 10.0 - i]) for i in range(11)] * 3
+    asked = spark.createDataFrame(left, "id long, embedding array<double>")
+    offered = spark.createDataFrame([(i + 100 * (j % 3), v) for j, (i, v) in enumerate(right)], "id long, embedding array<double>")
+    found = similarity.nearest(asked, offered.dropDuplicates(["id"]), 3, "id", "id", small_side_bytes=small_side_bytes)
+    rows = sorted((r["left_id"], r["rank"]) for r in found.collect())
+    assert rows == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)]
+    best = {r["left_id"]: r["right_id"] for r in found.where("rank = 1").collect()}
+    assert best[1] % 100 == 0
+
+
+def test_profile_counts_nested_columns_and_decimals(spark):
+    from catalogrec.plans.profile import profile
+
+    df = spark.sql("select 1 as a, array(1.0) as b, map('x', 1) as c, cast(1.5 as decimal(9,2)) as d union all select 1, array(2.0), map('x', 1), 1.5")
+    tables = profile(df)
+    assert tables["duplicates"].first()[0] == 0
+    assert "d" in {r["column"] for r in tables["summary"].collect()}
+    assert profile(df.union(df))["duplicates"].first()[0] == 2
+
+
+def test_book_ids_follow_file_order(spark, tmp_path):
+    from catalogrec.sources.catalog_csv import load_source_1
+
+    header = "Title,Book_Description,Stars,Category\n"
+    for name, rows in (("1", 2), ("2", 40), ("3", 7)):
+        text = header + "".join(f"t{name}-{i},d,4.0,c\n" for i in range(rows))
+        (tmp_path / f"{name}.csv").write_text(text)
+    want = [f"t1-{i}" for i in range(2)] + [f"t2-{i}" for i in range(40)] + [f"t3-{i}" for i in range(7)]
+    for cost in ("4194304", "1"):
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        got = load_source_1(spark, str(tmp_path)).orderBy("book_id").collect()
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert [r["title"] for r in got] == want and [r["book_id"] for r in got] == list(range(49))
+
+
+def test_types_are_inferred_after_missing_tokens(spark, tmp_path):
+    from catalogrec.sources.catalog_csv import read_csv
+
+    (tmp_path / "a.csv").write_text("i,l,d,b,day,t,s,none\n1,1,NA,true,2020-01-02,2020-01-02 03:04:05,x,NA\nNA,9999999999,2.5,NA,NA,NA,1,\n")
+    df = read_csv(spark, str(tmp_path), infer=True)
+    assert [t for _, t in df.dtypes] == ["int", "bigint", "double", "boolean", "date", "timestamp", "string", "string"]
+
+
+def test_spread_starts_no_job(spark):
+    from catalogrec.session import spread
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "")
+    spread(spark.range(10).groupBy("id").count(), "id")
+    spread(spark.range(10).repartition(3), "id")
+    assert list(tracker.getJobIdsForGroup("spread")) == []
+    spark.sparkContext.setJobGroup("", "")
