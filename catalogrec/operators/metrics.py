@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+
+# Classes a confusion matrix may have; a column with more distinct values holds no classes.
+MAX_CLASSES = 1000
 
 
 def confusion(
@@ -14,26 +19,23 @@ def confusion(
 ) -> DataFrame:
     """(actual, predicted, count) for the full label grid, zero cells kept.
 
-    Rows are counted first (map-side combined); the grid is built from the label list, which has
-    one entry per class, not from the rows.
+    Rows are counted at once (map-side combined) and the matrix, one row per pair of classes, is held
+    as a local table: whatever is derived from it does not read the predictions again. More than
+    ``MAX_CLASSES`` distinct values are an error.
     """
+    spark = predictions.sparkSession
     counts = predictions.groupBy(
         F.col(actual).alias("actual"), F.col(predicted).alias("predicted")
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    ).agg(F.count(F.lit(1)).alias("count"))
+    cells = counts.limit(MAX_CLASSES * MAX_CLASSES + 1).collect()
+    known = {(r["actual"], r["predicted"]): r["count"] for r in cells}
+    found = {v for pair in known for v in pair if v is not None} if labels is None else set(labels)
+    if len(found) > MAX_CLASSES or len(cells) > MAX_CLASSES * MAX_CLASSES:
+        raise ValueError(f"columns {actual} and {predicted} have more than {MAX_CLASSES} classes")
     dtype = counts.schema["actual"].dataType
-    if labels is None:
-        one = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).agg(
-            F.array_sort(F.collect_set("label")).alias("labels")
-        )
-    else:
-        listed = F.array(*[F.lit(v).cast(dtype) for v in labels])
-        one = predictions.sparkSession.range(1).select(listed.alias("labels"))
-    grid = one.select("labels", F.explode("labels").alias("actual")).select(
-        "actual", F.explode("labels").alias("predicted")
-    )
-    return grid.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("_n", F.lit(0)).alias("count")
-    )
+    rows = [(a, p, known.get((a, p), 0)) for a in sorted(found) for p in sorted(found)]
+    schema = StructType([StructField("actual", dtype), StructField("predicted", dtype), StructField("count", LongType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def confusion_percent(matrix: DataFrame) -> DataFrame:

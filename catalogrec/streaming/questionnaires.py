@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.similarity import unique_rows
 from ..plans.recommend import PREFERENCES_SCHEMA, split_valid
 from ..sources.storage import write_batch
 
