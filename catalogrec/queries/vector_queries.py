@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from ..functions.questionnaire import AXIS_LIKERT, LIKERT_COLUMNS, read_keys
 from ..functions.vectors import cosine
 from ..operators import classify
-from ..operators.quality import coherence
+from ..operators.quality import coherence, title_index
 from ..operators.sampling import stratified_split
 from ..operators.similarity import nearest
 from ..plans.benchmark import benchmark_labels, split_standardized
-from ..plans.recommend import axis_profile, describe_books, rank_books, recommend, session_results, with_query_text, split_valid
+from ..plans.recommend import axis_profile, build_vectors, rank_books, recommend, session_results, split_valid
 from ..session import scratch_path
-from ..sources.storage import materialize, read_json_history, write_json
+from ..sources.storage import materialize, read_json_history, read_metrics, write_json
 from ..streaming.questionnaires import answer_stream, read_questionnaires
 from . import sql as q
 from .tables import table
@@ -96,11 +96,15 @@ _WEIGHTED_SQL = f"""WITH {CENTROIDS_SQL},
 # --- batch recommendation ----------------------------------------------------------------------
 
 
+def _vector_of(spark, d, key):
+    """Vector of a row: the vectors are dealt over all keys in turn."""
+    return F.col(key) % _vectors(spark, d).count()
+
+
 def _catalog(spark, d):
-    """A catalogue row per vector, titled by the part of the same number."""
-    part = table(spark, d, "part").join(
-        _vectors(spark, d).select(F.col("vec_id").alias("p_partkey"), "label"), "p_partkey"
-    )
+    """A catalogue row per part, labelled by the vector its number falls on."""
+    vectors = _vectors(spark, d).select("vec_id", "label")
+    part = table(spark, d, "part").withColumn("vec_id", _vector_of(spark, d, "p_partkey")).join(vectors, "vec_id")
     return part.select(
         F.col("p_partkey").alias("book_id"),
         F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")).alias("title"),
@@ -116,16 +120,16 @@ def _catalog(spark, d):
 
 
 def _book_vectors(spark, d):
-    titles = _catalog(spark, d).select("book_id", read_keys("title").alias("read_keys"))
-    return titles.join(_vectors(spark, d).select(F.col("vec_id").alias("book_id"), "embedding"), "book_id")
+    titles = _catalog(spark, d).select("book_id", _vector_of(spark, d, "book_id").alias("vec_id"), read_keys("title").alias("read_keys"))
+    return titles.join(_vectors(spark, d).select("vec_id", "embedding"), "vec_id").drop("vec_id")
 
 
 def _preferences(spark, d):
-    """One questionnaire per vector whose event exists; its favourite is the part of that number."""
+    """One questionnaire per event; its favourite is the part its number falls on."""
     events = table(spark, d, "events").select(F.col("event_id").alias("query_id"), "event_type", "user_id")
-    part = table(spark, d, "part").select(F.col("p_partkey").alias("query_id"), "p_name")
-    vectors = _vectors(spark, d).select(F.col("vec_id").alias("query_id"))
-    return events.join(part, "query_id").join(vectors, "query_id", "left_semi").select(
+    part = table(spark, d, "part")
+    events = events.withColumn("p_partkey", F.col("query_id") % part.count())
+    return events.join(part.select("p_partkey", "p_name"), "p_partkey").select(
         "query_id",
         F.col("event_type").alias("description"),
         F.col("p_name").alias("favorite_books"),
@@ -135,9 +139,10 @@ def _preferences(spark, d):
 
 
 def _lookup_encoder(spark, d):
-    """Encoder stand-in: the vector stored under the question's number."""
-    vectors = _vectors(spark, d).select(F.col("vec_id").alias("query_id"), "embedding")
-    return lambda df, _col: df.join(vectors, "query_id")
+    """Encoder stand-in: the vector a question's number falls on."""
+    vectors = _vectors(spark, d).select("vec_id", "embedding")
+    at = _vector_of(spark, d, "query_id")
+    return lambda df, _col: df.withColumn("vec_id", at).join(vectors, "vec_id").drop("vec_id")
 
 
 _SHOWN = ["query_id", "rank", "book_id", "title", "author", "genre", "year", "series", "language", "pages", "rating", "description"]
@@ -151,16 +156,19 @@ def _batch_recommend(spark, d):
 _LIKERT_SQL = [f"CAST(user_id % {i + 3} AS INTEGER) AS {c}" for i, c in enumerate(LIKERT_COLUMNS)]
 RECOMMEND_SQL = f"""
     book AS (
-      SELECT p_partkey AS book_id, p_name || ' (' || p_brand || ')' AS title, p_size, p_type, p_name, e.label, {_E} AS v
-      FROM part JOIN embeddings e ON p_partkey = vec_id),
+      SELECT p_partkey AS book_id, p_name || ' (' || p_brand || ')' AS title, p_size, p_type, p_name, e.label, vec_id AS v
+      FROM part JOIN embeddings e ON p_partkey % (SELECT count(*) FROM embeddings) = vec_id),
     ask AS (
-      SELECT event_id AS query_id, p_name AS f, {', '.join(_LIKERT_SQL)}, {_E} AS u
-      FROM events JOIN part ON event_id = p_partkey JOIN embeddings e ON event_id = vec_id),
+      SELECT event_id AS query_id, p_name AS f, {', '.join(_LIKERT_SQL)}, event_id % (SELECT count(*) FROM embeddings) AS u
+      FROM events JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey),
+    alike AS (
+      SELECT a.vec_id AS u, b.vec_id AS v, round({q.cosine('CAST(a.embedding AS DOUBLE[])', 'CAST(b.embedding AS DOUBLE[])')}, 9) AS s
+      FROM embeddings a CROSS JOIN embeddings b),
     good AS (SELECT * FROM ask WHERE {' AND '.join(f'{c} BETWEEN 1 AND 5' for c in LIKERT_COLUMNS)}),
     pairs AS (
-      SELECT query_id, book_id, round({q.cosine('u', 'v')}, 9) AS s,
+      SELECT query_id, book_id, s,
         ({' + '.join(LIKERT_COLUMNS)}) / 4.0::DOUBLE / 5.0::DOUBLE AS likert
-      FROM good CROSS JOIN book
+      FROM good CROSS JOIN book JOIN alike USING (u, v)
       WHERE NOT (lower(title) = f OR (starts_with(lower(title), f)
         AND regexp_matches(substr(lower(title), length(f) + 1), '^\\s*[(:,\\-][^\\n]*$')))),
     best AS (
@@ -181,7 +189,7 @@ def _fragmented(spark, d):
     """The same ranking when no side may be broadcast (fragment and replicate)."""
     valid, _ = split_valid(_preferences(spark, d))
     questions = _lookup_encoder(spark, d)(valid, "query_text")
-    ranked = rank_books(questions, _book_vectors(spark, d), small_side_bytes=64 * 1024)
+    ranked = rank_books(questions, _book_vectors(spark, d), small_side_bytes=256 * 1024)
     return ranked.select("query_id", "rank", "book_id", F.round("score", 6).alias("score"))
 
 
@@ -225,6 +233,37 @@ def _json_history(spark, d):
     return good.groupBy("query_id", "description", "favorite_books").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _stored_vectors(spark, d):
+    """Vector table of the catalogue, written once and read again: ids, keys and vector lengths."""
+    titles = _catalog(spark, d)
+    encode = _lookup_encoder(spark, d)
+    path = scratch_path(spark, "book-vectors")
+
+    def encoded(df, column):
+        return encode(df.withColumn("query_id", F.col("book_id")), column)
+
+    texts = titles.withColumn("text_full", F.col("title"))
+    build_vectors(spark, texts, encoded, path)
+    again = build_vectors(spark, texts.limit(0), encoded, path)
+    return again.select("book_id", F.size("embedding").cast("long").alias("width"), F.size("read_keys").cast("long").alias("n_keys"))
+
+
+def _title_index(spark, d):
+    """Distinct lookup keys of part names with outer blanks and mixed case."""
+    named = table(spark, d, "part").select(F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("title"))
+    return title_index(named)
+
+
+def _metrics_read(spark, d):
+    """A metrics document written as JSON and read back."""
+    path = scratch_path(spark, "metrics")
+    counts = table(spark, d, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_books"))
+    write_json(counts.agg(F.array_sort(F.collect_list(F.struct("p_brand", "n_books"))).alias("brands")), path)
+    found = read_metrics(spark, path, "brands array<struct<p_brand: string, n_books: long>>").selectExpr("inline(brands)")
+    missing = read_metrics(spark, f"{path}-missing")
+    return found.withColumn("other_is_missing", F.lit(missing is None))
+
+
 # --- axis profile, coherence -------------------------------------------------------------------
 
 
@@ -403,8 +442,15 @@ QUERIES = {
     "json_history": (
         _json_history,
         """SELECT event_id AS query_id, event_type AS description, p_name AS favorite_books, CAST(2 AS BIGINT) AS n
-        FROM events JOIN part ON event_id = p_partkey JOIN embeddings ON event_id = vec_id""",
+        FROM events JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey""",
+    ),
+    "stored_vectors": (
+        _stored_vectors,
+        """SELECT p_partkey AS book_id, len(embedding) AS width, CAST(2 AS BIGINT) AS n_keys
+        FROM part JOIN embeddings ON p_partkey % (SELECT count(*) FROM embeddings) = vec_id""",
     ),
+    "title_index": (_title_index, "SELECT DISTINCT lower(trim(p_name)) AS title_key FROM part"),
+    "metrics_read": (_metrics_read, "SELECT p_brand, count(*) AS n_books, true AS other_is_missing FROM part GROUP BY p_brand"),
     "axis_profile": (_axis_profile, _axis_sql()),
     "coherence": (
         _coherence,
