@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -42,16 +42,36 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     return folder
 
 
+# A line that begins a document written over several lines, or a list.
+_OPENING = r"\A\s*(\[|\{\s*\z)"
+
+
 def read_json_history(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, corrupt rows) of a JSON history; a missing history has no rows."""
+    """(good rows, corrupt rows) of a JSON history; a missing history has no rows.
+
+    A file holds one document per line, or one list of documents, or one document, either with line
+    breaks. Files of the latter kinds are told by their opening line and read whole; a broken one is
+    one corrupt row.
+    """
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     full = StructType([*wanted.fields, StructField(CORRUPT, StringType())])
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], full)
         return empty.drop(CORRUPT), empty.select(CORRUPT)
     # Parsed from lines: the JSON source refuses to return corrupt records on their own.
-    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = spark.read.text(path).where("value <> ''").select(parsed.alias("r")).select("r.*")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where("value <> ''").withColumn("_file", F.col("_metadata.file_path"))
+    # The names of such files only, as the driver lists all files of the history anyway.
+    whole = [r["_file"] for r in lines.where(F.col("value").rlike(_OPENING)).select("_file").distinct().collect()]
+    if whole:
+        lines = lines.where(~F.col("_file").isin(whole))
+    rows = lines.select(F.from_json("value", full, options).alias("r")).select("r.*")
+    if whole:
+        texts = spark.read.text(whole, wholetext=True)
+        found = texts.select("value", F.from_json("value", ArrayType(wanted), {"mode": "PERMISSIVE"}).alias("list"))
+        listed = found.where("list is not null").select(F.explode("list").alias("r")).where("r is not null").select("r.*")
+        broken = found.where("list is null").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in wanted], F.col("value").alias(CORRUPT))
+        rows = rows.unionByName(listed.withColumn(CORRUPT, F.lit(None).cast("string"))).unionByName(broken)
     good = rows.where(F.col(CORRUPT).isNull()).select(*wanted.fieldNames())
     return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 

@@ -160,3 +160,14 @@ def test_stream_matches_batch_and_survives_replay(spark, catalog, engine, tmp_pa
     assert [r.query_id for r in rejected.collect()] == [3]
     assert spark.read.json(f"{out}/preferences").where(F.col(LIKERT_COLUMNS[0]) > 5).count() == 0
     assert run("c2") == sorted(batch * 2)  # another stream adds to the history
+
+
+def test_history_of_lists_and_indented_documents(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": 1}\n{"a": 2}\nbroken\n')
+    (tmp_path / "b.json").write_text('[\n  {"a": 3},\n  {"a": 4}\n]\n')
+    (tmp_path / "c.json").write_text('{\n  "a": 5\n}\n')
+    (tmp_path / "d.json").write_text('[{"a": 6}, {"a":')
+    (tmp_path / "e.json").write_text('[{"a": 7}]')
+    good, corrupt = read_json_history(spark, str(tmp_path), "a long")
+    assert sorted(r["a"] for r in good.collect()) == [1, 2, 3, 4, 5, 7]
+    assert sorted(r[0] for r in corrupt.collect()) == ['[{"a": 6}, {"a":', "broken"]
