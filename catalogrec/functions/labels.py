@@ -115,6 +115,7 @@ CATEGORY_GENRES = {
     "humor": "humor",
 }
 
+# Labels shown for missing or early values.
 UNKNOWN_GENRE = "unknown"
 OTHER_GENRE = "other"
 UNCLASSIFIED_LABEL = "Genre non classé"

@@ -39,6 +39,7 @@ AXIS_SENTENCES = {
     "learning": "essai pédagogique très éducatif et instructif",
     "complexity": "récit littéraire très complexe et sophistiqué",
 }
+# Texts that must match word for word.
 FAVOURITES_INTRO = "Livres similaires à : "
 SHORT_TEXT_SUFFIX = ". Recherche de livre avec ambiance immersive et intrigue captivante."
 SHORT_TEXT_WORDS = 5

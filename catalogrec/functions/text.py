@@ -237,6 +237,7 @@ def truncate_words(c: Column | str, max_words: int) -> Column:
 
 def extract_year(c: Column | str) -> Column:
     """First four-digit year 1500-2099 anywhere in the text."""
+    # Fixed value: the pattern of a year.
     found = F.regexp_extract(_col(c), r"(1[5-9]\d{2}|20\d{2})", 1)
     return F.nullif(found, F.lit("")).try_cast("double")
 

@@ -67,7 +67,8 @@ def benchmark_labels(
 ) -> dict[str, DataFrame]:
     """Comparison table, retained model, its KPI tables and the one-row summary document.
 
-    The sample is bounded by ``cap`` rows per label; it is written once and every model reads
+    The sample, test rows included, is bounded by ``cap`` rows per label: scores are measured on the
+    capped rows, not on the rest of the table. It is written once and every model reads
     that table.
     """
     spark = vectors.sparkSession

@@ -26,6 +26,7 @@ from ..session import scratch_path
 from ..sources.storage import materialize
 
 TOP_K = 5
+# Fixed value: shown in place of a missing description.
 NO_DESCRIPTION = "Description non disponible"
 PREFERENCES_SCHEMA = (
     "query_id long, description string, favorite_books string, avoid string, "
