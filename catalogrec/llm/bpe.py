@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_rows, texts
 
-# Distinct pieces of one recursive query, chunks whose ids a worker keeps between batches (speed only)
+# Distinct pieces and rows of one recursive query, chunks whose ids a worker keeps between batches (speed only)
 # and characters encoded at a time.
 QUERY_PIECES = 32_768
 KEPT_CHUNKS = 400_000
+STEP_ROWS = 6_000_000
 BATCH_CHARS = 4_000_000
 
 _MERGE = """
@@ -38,6 +39,7 @@ with recursive steps(round, piece, pos, follows, token) as (
       from steps a
       join steps b on b.pos = a.follows
       join merges m on m.pair = a.token * 65536::bigint + b.token
+      where a.round < $rounds
     ), best as (
       select piece, min(merged) as merged from pairs group by piece
     ), hits as (
@@ -57,7 +59,8 @@ with recursive steps(round, piece, pos, follows, token) as (
 ), ends as (
   select piece, max(round) as round from steps group by piece
 )
-select piece, string_agg(token, ',' order by pos) as ids from steps join ends using (piece, round) group by piece order by piece
+select piece, round, string_agg(token, ',' order by pos) as ids
+from steps join ends using (piece, round) group by piece, round order by piece
 """
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -100,25 +103,41 @@ class Encoder:
         self.db.unregister("given")
 
     def _merge(self, pieces: list[str]) -> list[str]:
-        """Ids of distinct pieces that are no tokens themselves."""
-        raw = [p.encode() for p in pieces]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        ends = np.cumsum(lengths)
-        total = int(ends[-1])
-        follows = np.arange(1, total + 1, dtype=np.int32)
-        follows[ends - 1] = -1
-        start = pa.table(
-            {
-                "piece": np.repeat(np.arange(len(raw), dtype=np.int32), lengths),
-                "pos": np.arange(total, dtype=np.int32),
-                "follows": follows,
-                "token": self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)],
-            }
-        )
-        self.db.register("start", start)
-        found = self.db.sql(_MERGE).to_arrow_table()
-        self.db.unregister("start")
-        return found["ids"].to_pylist()
+        """Ids of distinct pieces that are no tokens themselves.
+
+        The query keeps the rows of all its steps, so the number of steps is bounded by their number;
+        pieces that need more (words of hundreds of letters) go on from where they are.
+        """
+        done = [""] * len(pieces)
+        tokens = [self.byte_ids[np.frombuffer(p.encode(), np.uint8)] for p in pieces]
+        left = list(range(len(pieces)))
+        while left:
+            lengths = np.fromiter((len(tokens[i]) for i in left), np.int64, len(left))
+            ends = np.cumsum(lengths)
+            total = int(ends[-1])
+            follows = np.arange(1, total + 1, dtype=np.int32)
+            follows[ends - 1] = -1
+            start = pa.table(
+                {
+                    "piece": np.repeat(np.arange(len(left), dtype=np.int32), lengths),
+                    "pos": np.arange(total, dtype=np.int32),
+                    "follows": follows,
+                    "token": np.concatenate([tokens[i] for i in left]),
+                }
+            )
+            rounds = max(8, STEP_ROWS // total)
+            self.db.register("start", start)
+            found = self.db.sql(_MERGE.replace("$rounds", str(rounds))).to_arrow_table()
+            self.db.unregister("start")
+            again = []
+            for i, at, ids in zip(left, found["round"].to_pylist(), found["ids"].to_pylist(), strict=True):
+                if at < rounds:
+                    done[i] = ids
+                else:
+                    tokens[i] = np.array(ids.split(","), np.int32)
+                    again.append(i)
+            left = again
+        return done
 
     def _pieces(self, wanted: set[str]) -> dict[str, str]:
         """Ids of distinct pieces, as text."""
