@@ -6,7 +6,7 @@ of that length follows the extreme-value law ``E = K n exp(-lambda S)``. A text'
 of ``-ln E`` over its significant segments; a logistic curve turns it into a probability.
 
 Occurrences are counted once per pair of neighbouring words, so copies of a passage count once, and a
-word said many times in a row counts once. A word also stands for its first 4, 5 and 6 letters: inflections and compounds of a toxic stem share
+word said many times in a row is counted once in fitting. A word also stands for its first 4, 5 and 6 letters: inflections and compounds of a toxic stem share
 them. A word takes the best score among itself and its stems.
 """
 
@@ -60,11 +60,8 @@ class ToxicityModel:
     def hits(self, text: str, known: dict[str, float]) -> tuple[int, list[int], list[float]]:
         """Number of words, and places and scores of those with a score; ``known`` keeps words seen before."""
         words = _WORDS(text.lower())
-        places, scores, before = [], [], None
+        places, scores = [], []
         for i, w in enumerate(words):
-            if w == before:
-                continue
-            before = w
             s = known.get(w)
             if s is None:
                 if len(known) > 500_000:
