@@ -5,9 +5,10 @@ maximal scoring segment of a text is found in time linear in its words, and its
 of that length follows the extreme-value law ``E = K n exp(-lambda S)``. A text's evidence is the sum
 of ``-ln E`` over its significant segments; a logistic curve turns it into a probability.
 
-Occurrences are counted once per pair of neighbouring words, so copies of a passage count once, and a
-word said many times in a row is counted once in fitting. A word also stands for its first 4, 5 and 6 letters: inflections and compounds of a toxic stem share
-them. A word takes the best score among itself and its stems.
+In fitting, occurrences are counted once per pair of neighbouring words, so copies of a passage
+count once, and so does a word said many times in a row. A word also stands for its first 4, 5 and 6
+letters: inflections and compounds of a toxic stem share them. A word takes the best score among
+itself and its stems.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ class ToxicityModel:
         for i, w in enumerate(words):
             s = known.get(w)
             if s is None:
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 s = known[w] = self.word_score(w)
             if s:
