@@ -26,8 +26,8 @@ from .common import arrow_rows, texts
 
 SPACE = "▁"
 # Chunks whose counts a worker keeps, and compiled transitions; beyond that they are made anew.
-KEPT_CHUNKS = 400_000
-KEPT_TRANSITIONS = 800_000
+KEPT_CHUNKS = 250_000
+KEPT_TRANSITIONS = 550_000
 
 
 class Transducer:
