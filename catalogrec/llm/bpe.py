@@ -24,10 +24,10 @@ from .common import arrow_rows, texts
 
 # Distinct pieces and rows of one recursive query, chunks whose ids a worker keeps between batches (speed only)
 # and characters encoded at a time.
-QUERY_PIECES = 32_768
-KEPT_CHUNKS = 400_000
-STEP_ROWS = 6_000_000
-BATCH_CHARS = 4_000_000
+QUERY_PIECES = 16_384
+KEPT_CHUNKS = 200_000
+STEP_ROWS = 4_000_000
+BATCH_CHARS = 2_000_000
 
 _MERGE = """
 with recursive steps(round, piece, pos, follows, token) as (
@@ -92,7 +92,7 @@ class Encoder:
                 if left is not None and right is not None:
                     pairs.append(left * 65536 + right)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._table("merges", {"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())})
         known = {"token": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())}
         self._table("tokens", known)
@@ -232,8 +232,12 @@ def bpe_encode(
             made["ids_sha256"] += [hashlib.sha256(c.encode()).hexdigest() for c in coded]
             made["decoded_sha256"] += [hashlib.sha256(d).hexdigest() for d in decoded]
             if ids:
-                made["token_ids"] += [n.tolist() for n in numbers]
+                made["token_ids"] += numbers
             begin = end
+        if ids:  # plain Python numbers would take many times the room
+            ends = np.cumsum([0, *map(len, made["token_ids"])]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int32), *made["token_ids"]])
+            made["token_ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
         return made
 
     columns = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if ids else "")
