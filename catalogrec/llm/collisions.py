@@ -24,7 +24,7 @@ from .components import components
 from .vectors import clean_vectors, widths
 
 LINES = 64
-MISSED = 1e-6
+MISSED = 1e-7
 BLOCK_ROWS = 4096
 _QUERIES = 128
 _SEED = 20_231_117

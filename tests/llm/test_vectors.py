@@ -83,6 +83,11 @@ def test_different_widths_are_an_error(spark):
         near_vectors(frame(spark, [(1, [1.0]), (2, [1.0, 2.0])]))
 
 
+def test_near_vectors_count_misses_less_than_one_in_ten_million():
+    p, count = math.erf(math.sqrt(0.5)), calibrated_count()
+    assert sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(count)) <= 1e-7
+
+
 def test_calibrated_count_misses_seldom():
     p = math.erf(math.sqrt(0.5))
     count = calibrated_count(64, p, 1e-6)
