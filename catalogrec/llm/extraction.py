@@ -11,6 +11,7 @@ decided neighbours are not sought across the border of an article or main elemen
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -43,7 +44,7 @@ _BREAKING = set(
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "section select summary table tbody td tfoot th thead tr ul".split()
 )
-_NO_TEXT = "script style noscript template svg math iframe object textarea title canvas".split()
+_NO_TEXT = set("script style noscript template svg math iframe object textarea title canvas".split())
 _BOILERPLATE = set("nav header footer aside form menu dialog button select fieldset".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BODY = {"article", "main"}
@@ -56,15 +57,91 @@ _NAMED = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
-_DROPPED = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(" + "|".join(_NO_TEXT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>",
-    re.IGNORECASE | re.DOTALL,
+_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(" + _ATTRIBUTES + ")>")
+# A tag, or else a comment or declaration, which has no name.
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|" + _TAG.pattern, re.DOTALL)
+# Elements whose content is not markup: only their own end tag ends them.
+_RAW = set("script style textarea title iframe".split())
+_SAME = {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in _RAW}
+_ENDED = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in _RAW}
+# Drawings and formulas may close themselves, and end before these elements unless inside the others.
+_FOREIGN = {"svg", "math"}
+_BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var article aside footer header main nav section".split()
 )
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+_HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+# A slash behind an unquoted value belongs to the value.
+_CLOSES_ITSELF = re.compile(r"(?:^|[\s\"'])/\Z|(?:^|\s)[^\s=\"']+/\Z")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 
 
+def _raw_end(html: str, name: str, at: int, closes_itself: bool, absent: set[str]) -> int | None:
+    """Where an element without markup ends, None if its end tag is missing; ``absent`` keeps names without end tags."""
+    if closes_itself:
+        same = _SAME[name].search(html, at)
+        return same.end() if same and same[1] else None
+    ended = None if name in absent else _ENDED[name].search(html, at)
+    if ended is None:
+        absent.add(name)
+    return ended and ended.end()
+
+
+def _hidden_end(html: str, tag: re.Match, outside: Counter, absent: set[str]) -> int:
+    """Where an element of ``_NO_TEXT`` ends: at its end tag, or else at the border of the element around it."""
+    name, at, itself = tag[2].lower(), tag.end(), bool(_CLOSES_ITSELF.search(tag[3]))
+    if name in _FOREIGN and itself:
+        return at
+    if name in _RAW and (end := _raw_end(html, name, at, itself, absent)) is not None:
+        return end
+    inside: list[str] = []
+    while mark := _MARK.search(html, at):
+        at = mark.end()
+        if mark[2] is None:
+            continue
+        inner = mark[2].lower()
+        if mark[1]:
+            if inner in inside:
+                while inside.pop() != inner:
+                    pass
+            elif inner == name and name not in _RAW:
+                return at
+            elif outside[inner] > 0:
+                return mark.start()
+            continue
+        if inner == "body" or (name in _FOREIGN and inner in _BREAKOUT and not _HOLDS_HTML.intersection(inside)):
+            return mark.start()
+        foreign = name in _FOREIGN or inner in _FOREIGN or not _FOREIGN.isdisjoint(inside)
+        itself = bool(_CLOSES_ITSELF.search(mark[3]))
+        if inner in _VOID or (foreign and itself):
+            continue
+        if inner in _RAW and not foreign and (end := _raw_end(html, inner, at, itself, absent)) is not None:
+            at = end
+        else:
+            inside.append(inner)
+    return len(html)
+
+
+def _visible(html: str) -> str:
+    """The page without comments, declarations and the elements of ``_NO_TEXT``."""
+    kept, begin, at = [], 0, 0
+    outside: Counter[str] = Counter()
+    absent: set[str] = set()
+    while mark := _MARK.search(html, at):
+        at = mark.end()
+        name = mark[2] and mark[2].lower()
+        if name is None or (name in _NO_TEXT and not mark[1]):
+            kept.append(html[begin : mark.start()])
+            begin = at = at if name is None else _hidden_end(html, mark, outside, absent)
+        elif not mark[1]:
+            outside[name] += name not in _VOID
+        elif outside[name]:
+            outside[name] -= 1
+    return "".join([*kept, html[begin:]])
+
+
 class _Block:
     __slots__ = ("bad", "chars", "linked", "region", "text")
 
@@ -75,7 +152,7 @@ class _Block:
 
 def blocks(html: str) -> list[_Block]:
     """Text blocks in page order, with the characters inside links and whether boilerplate encloses them."""
-    html = _DROPPED.sub("", html)
+    html = _visible(html)
     found: list[_Block] = []
     text: list[str] = []
     linked = 0

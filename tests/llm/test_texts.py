@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from catalogrec.llm.bpe import bpe_encode
-from catalogrec.llm.extraction import extract_main_text
+from catalogrec.llm.extraction import STOP_WORDS, extract_main_text, main_text
 from catalogrec.llm.jaccard import jaccard_classes
 from catalogrec.llm.langid import identify_language, language_profiles
 from catalogrec.llm.mixing import mix
@@ -295,3 +295,22 @@ def test_extraction(spark):
     assert len(got[1][1].split("\n")) == 3 and "And so on." in got[1][1] and "One" not in got[1][1] and "Copyright" not in got[1][1]
     assert [g[1] for g in got[2:4]] == ["", ""] and all(n == len(t) for _, t, n in got)
     assert extract_main_text(table.limit(0)).count() == 0
+
+
+def text_of(html):
+    return main_text(html, frozenset(w for words in STOP_WORDS.values() for w in words.split()))
+
+
+@pytest.mark.parametrize("name", ["svg", "math"])
+def test_extraction_goes_on_behind_an_icon(name):
+    for tag in (f'<{name} class="i"/>', f"<{name}/>", f"<{name} hidden/>", f"<{name} class=i />", f"<{name}><g/><g>x</{name}>", f"<{name}>"):
+        assert text_of(f"<article><p>a</p>{tag}<p>rest</p></article>") == "a\nrest"
+    assert text_of(f"<article><p>a<{name}><{name}>x</{name}>y</{name}>b</p></article>") == "ab"
+
+
+@pytest.mark.parametrize("name", ["script", "style", "noscript", "template", "iframe", "object", "textarea", "title", "canvas"])
+def test_extraction_ends_open_elements_at_the_border_around_them(name):
+    for tag in (f"<{name}>", f"<{name}/>", f'<{name} src="x"/>'):
+        assert text_of(f"<article><div><p>a</p>{tag}<b>x</b> y</div><p>rest</p></article>") == "a\nrest"
+        assert text_of(f"<article><p>a</p>{tag}x</{name}><p>rest</p></article>") == "a\nrest"
+    assert text_of(f"<article><div>a<{name}/></div><p>rest</p><{name}>x</{name}></article>") == "a\nrest"
