@@ -55,6 +55,12 @@ _NAMED = re.compile(
     r"pagination|pager|copyright|legal|complementary|contentinfo|search|form)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# An article is boilerplate only by a name that begins with one of these: comments, advertisements, teasers.
+_ITEM = re.compile(
+    r"(?:^|\s)(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|comments?|comment-?list|"
+    r"disqus|replies|related|recommended|widget)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
@@ -150,6 +156,47 @@ class _Block:
         self.chars = len(text)
 
 
+def _has_name(names: re.Pattern, attributes: str) -> bool:
+    return bool(attributes) and any(names.search(a or b or c) for a, b, c in _NAMES.findall(attributes))
+
+
+def _is_item(attributes: str) -> bool:
+    return _has_name(_ITEM, attributes)
+
+
+def _holders(tags: list[re.Match]) -> set[int]:
+    """Places of the tags whose elements hold an article or main element of the page.
+
+    Comments and teasers are no articles of the page, by their name or because an article is around them.
+    """
+    holders: set[int] = set()
+    if not any(tag[2].lower() in _BODY for tag in tags):
+        return holders
+    open_elements: list[tuple[str, int, bool]] = []
+    articles = 0
+    for k, tag in enumerate(tags):
+        name = tag[2].lower()
+        if name not in _BREAKING or name in _VOID:
+            continue
+        if not tag[1]:
+            own = name == "main" or (name == "article" and not _is_item(tag[3]))
+            if name == "main" or (own and not articles):
+                for _, i, _ in reversed(open_elements):
+                    if i in holders:
+                        break
+                    holders.add(i)
+            counts = name == "article"
+            articles += counts
+            open_elements.append((name, k, counts))
+        elif any(name == o for o, _, _ in open_elements):
+            while True:
+                ended, _, counts = open_elements.pop()
+                articles -= counts
+                if ended == name:
+                    break
+    return holders
+
+
 def blocks(html: str) -> list[_Block]:
     """Text blocks in page order, with the characters inside links and whether boilerplate encloses them."""
     html = _visible(html)
@@ -170,8 +217,10 @@ def blocks(html: str) -> list[_Block]:
             text.clear()
         linked = 0
 
+    tags = list(_TAG.finditer(html))
+    holders = _holders(tags)
     at = 0
-    for tag in _TAG.finditer(html):
+    for k, tag in enumerate(tags):
         if tag.start() > at:
             part = html[at : tag.start()]
             text.append(part)
@@ -188,9 +237,11 @@ def blocks(html: str) -> list[_Block]:
         if name in _VOID:
             continue
         if not tag[1]:
-            named = name in _BOILERPLATE
-            if not named and tag[3] and name not in ("body", "html"):
-                named = any(_NAMED.search(a or b or c) for a, b, c in _NAMES.findall(tag[3]))
+            named = name in _BOILERPLATE and not (name == "form" and k in holders)
+            if name == "article":
+                named = _is_item(tag[3])
+            elif not named and k not in holders and name not in ("body", "html", "main"):
+                named = _has_name(_NAMED, tag[3])
             if name == "header" and region:  # an article's own header holds its title
                 named = False
             open_elements.append((name, named, region))

@@ -314,3 +314,15 @@ def test_extraction_ends_open_elements_at_the_border_around_them(name):
         assert text_of(f"<article><div><p>a</p>{tag}<b>x</b> y</div><p>rest</p></article>") == "a\nrest"
         assert text_of(f"<article><p>a</p>{tag}x</{name}><p>rest</p></article>") == "a\nrest"
     assert text_of(f"<article><div>a<{name}/></div><p>rest</p><{name}>x</{name}></article>") == "a\nrest"
+
+
+@pytest.mark.parametrize("body", ["article", "main"])
+def test_extraction_finds_articles_inside_named_wrappers(body):
+    inner = f'<{body}><p>text</p><div class="ad">buy</div><section class="comments"><article>said</article></section></{body}>'
+    if body == "main":
+        inner = "<main><p>text</p><form>search</form></main>"
+    for wrapper in ("form", 'div class="layout with-sidebar"', 'div id="no-sidebar"', 'section class="has-related"', 'div role="search"'):
+        page = f'<body><{wrapper}><div class="sidebar">aside</div>{inner}</{wrapper.split()[0]}></body>'
+        assert text_of(page) == "text"
+    assert text_of(f'<form class="notice"><div class="header-top"><{body} class="with-sidebar">text</{body}></div></form>') == "text"
+    assert text_of(f'<{body}>text</{body}><div class="comments"><article class="comment">said</article></div>') == "text"
