@@ -82,6 +82,8 @@ _HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".sp
 _CLOSES_ITSELF = re.compile(r"(?:^|[\s\"'])/\Z|(?:^|\s)[^\s=\"']+/\Z")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
+# Chinese, Japanese and Korean characters.
+_WIDE = re.compile("[\u2e80-\ud7ff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def _raw_end(html: str, name: str, at: int, closes_itself: bool, absent: set[str]) -> int | None:
@@ -265,13 +267,22 @@ def blocks(html: str) -> list[_Block]:
     return found
 
 
-def _first_pass(block: _Block, stop: frozenset[str]) -> str:
-    if block.bad or block.linked > MOST_LINKS * block.chars:
+def _links_lead(block: _Block) -> bool:
+    return block.linked > MOST_LINKS * block.chars or (block.chars <= SHORT and block.linked > 0)
+
+
+def _size(text: str) -> int:
+    """Characters, those of scripts that write a syllable or word with one of them counted as three."""
+    return len(text) + 2 * len(_WIDE.findall(text))
+
+
+def _first_pass(block: _Block, density: float) -> str:
+    if block.bad:
         return "bad"
+    if _links_lead(block):
+        return "linked" if block.region else "bad"
     if block.chars <= SHORT:
-        return "bad" if block.linked else "short"
-    words = _WORD.findall(block.text.lower())
-    density = sum(w in stop for w in words) / len(words) if words else 0.0
+        return "short"
     if density >= MANY_STOP_WORDS:
         return "good" if block.chars > LONG else "near"
     if density >= FEW_STOP_WORDS:
@@ -279,6 +290,36 @@ def _first_pass(block: _Block, stop: frozenset[str]) -> str:
     return "short" if block.region else "bad"
 
 
+def _by_length(found: list[_Block]) -> list[str]:
+    """Labels by length and link density alone; middling blocks in a row count together."""
+    labels = []
+    for b in found:
+        size = 0 if b.bad or _links_lead(b) else _size(b.text)
+        labels.append("good" if size > LONG else "near" if size > SHORT else "short" if size else _first_pass(b, 0.0))
+    run: list[int] = []
+    for i in range(len(found) + 1):
+        if i < len(found) and labels[i] in ("near", "short", "good") and (not run or found[i].region == found[run[-1]].region):
+            run.append(i)
+            continue
+        near = [k for k in run if labels[k] == "near"]
+        if sum(_size(found[k].text) for k in near) > LONG:
+            for k in near:
+                labels[k] = "good"
+        run = [i] if i < len(found) and labels[i] in ("near", "short", "good") else []
+    return labels
+
+
+def _first_labels(found: list[_Block], stop: frozenset[str]) -> list[str]:
+    """Labels by stop words, or by length where the page holds hardly any known ones."""
+    words = [[] if b.bad or _links_lead(b) or _size(b.text) <= SHORT else _WORD.findall(b.text.lower()) for b in found]
+    known = [sum(w in stop for w in ws) for ws in words]
+    labels = [_first_pass(b, k / len(ws) if ws else 0.0) for b, k, ws in zip(found, known, words, strict=True)]
+    share = sum(known) / max(1, sum(map(len, words)))
+    if share < FEW_STOP_WORDS / 2 or (share < MANY_STOP_WORDS and "good" not in labels):
+        return _by_length(found)
+    return labels
+
+
 def main_text(html: str, stop: frozenset[str]) -> str:
     """Good blocks joined by line feeds."""
     found = blocks(html)
@@ -286,8 +327,32 @@ def main_text(html: str, stop: frozenset[str]) -> str:
     if any(b.region for b in found):
         for b in found:
             b.bad = b.bad or not b.region
-    labels = [_first_pass(b, stop) for b in found]
+    labels = _first_labels(found, stop)
     decided = [label if label in ("good", "bad") else None for label in labels]
+    before, after = _sides(found, decided)
+    for i, b in enumerate(found):
+        label = labels[i]
+        if label in ("near", "short"):
+            sides = {before[i], after[i]}
+            if "good" in sides:
+                # Middling text goes with a good neighbour, short text with two unless it stands in the article.
+                label = "good" if label == "near" or b.region or "bad" not in sides else "bad"
+            elif sides == {None}:
+                label = "good" if b.region or label == "near" else "bad"
+            else:
+                label = "good" if b.region else "bad"
+            decided[i] = label
+    # Links in the article go with the text before or behind them.
+    before, after = _sides(found, decided)
+    return "\n".join(
+        b.text
+        for i, b in enumerate(found)
+        if decided[i] == "good" or (labels[i] == "linked" and ("good" in (before[i], after[i]) or before[i] is after[i] is None))
+    )
+
+
+def _sides(found: list[_Block], decided: list[str | None]) -> tuple[list[str | None], list[str | None]]:
+    """The labels decided nearest before and after each block (or at it), not across the border of an article."""
     before, after = [None] * len(found), [None] * len(found)
     for out, places in ((before, range(len(found))), (after, range(len(found) - 1, -1, -1))):
         last, region = None, None
@@ -297,21 +362,7 @@ def main_text(html: str, stop: frozenset[str]) -> str:
             if decided[i]:
                 last = decided[i]
             out[i] = last
-    kept = []
-    for i, b in enumerate(found):
-        label = decided[i]
-        if label is None:
-            sides = {before[i], after[i]}
-            if "good" in sides:
-                # Middling text goes with a good neighbour, short text with two unless it stands in the article.
-                label = "good" if labels[i] == "near" or b.region or "bad" not in sides else "bad"
-            elif sides == {None}:
-                label = "good" if b.region or labels[i] == "near" else "bad"
-            else:
-                label = "good" if b.region else "bad"
-        if label == "good":
-            kept.append(b.text)
-    return "\n".join(kept)
+    return before, after
 
 
 def extract_main_text(

@@ -326,3 +326,25 @@ def test_extraction_finds_articles_inside_named_wrappers(body):
         assert text_of(page) == "text"
     assert text_of(f'<form class="notice"><div class="header-top"><{body} class="with-sidebar">text</{body}></div></form>') == "text"
     assert text_of(f'<{body}>text</{body}><div class="comments"><article class="comment">said</article></div>') == "text"
+
+
+ITALIAN = (
+    "Il treno partì dalla stazione poco prima dell'alba e attraversò campagne ancora coperte di nebbia, mentre i viaggiatori dormivano "
+    "appoggiati ai finestrini freddi. Nessuno parlava, e soltanto ogni tanto si sentiva passare il controllore nel corridoio.",
+    "Quando arrivarono al mare era già mattina piena, e tutti scesero insieme verso le spiagge portando ceste, ombrelli e bambini.",
+)
+FINNISH = ("Juna lähti asemalta juuri ennen aamunkoittoa ja kulki sumuisten peltojen halki, kun matkustajat vielä nukkuivat. " * 3).strip()
+CHINESE = "火车在黎明前离开车站,穿过仍被雾气笼罩的田野,旅客们靠着冰冷的车窗睡着了。没有人说话,只有列车员偶尔从走廊经过。早晨他们终于到了海边,大家提着篮子走向沙滩。"
+
+
+def test_extraction_of_languages_without_known_stop_words():
+    menu = '<ul><li><a href="/">Uno</a></li><li><a href="/b">Due</a></li></ul>'
+    for paragraphs in (ITALIAN, (FINNISH,), (CHINESE,), ITALIAN[1:] * 3):
+        page = f"<body>{menu}<div>" + "".join(f"<p>{p}</p>" for p in paragraphs) + f"</div>{menu}</body>"
+        assert text_of(page) == "\n".join(paragraphs)
+
+
+def test_extraction_keeps_linked_text_of_an_article():
+    page = '<article><h1><a href="/">Title</a></h1><p>Text here.</p><p>See <a href="/r">the report</a>.</p><p><a href="/q">A long link that fills the block from its beginning to its end, and more of it.</a></p><p>End.</p></article>'
+    assert len(text_of(page).split("\n")) == 5
+    assert text_of('<main><div class="ad">buy</div><p><a href="/q">link</a></p><div class="ad">buy</div></main>') == ""
