@@ -126,6 +126,23 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, tile):
     assert got == brute_classes(rows)
 
 
+@pytest.mark.parametrize("tile", [2048, 6])
+def test_jaccard_counts_every_link(spark, monkeypatch, tile):
+    import catalogrec.llm.jaccard as module
+
+    monkeypatch.setattr(module, "TILE_SETS", tile)
+    monkeypatch.setattr(module, "_GATHERED", 500)
+    base = [f"w{i}" for i in range(150)]
+    group = [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in range(0, 150, 4)]  # all near each other
+    rows = list(enumerate([*(t for _, t in near_copies()), *group, group[0], group[0]]))
+    words = {i: (t or "").lower().split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    want = {i: sum(i != j and bool(a and b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in sets.items()) for i, a in sets.items()}
+    table = docs(spark, [(i, t, None, None) for i, t in rows])
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_classes(table).collect()}
+    assert got == want and max(want.values()) >= len(group) + 1
+
+
 def test_jaccard_null_and_repeated_ids(spark):
     table = docs(spark, [(None, "a b c d e f", None, None), (4, "a b c d e f", None, None), (4, "x y z", None, None), (4, "x y z", None, None), (None, "q", None, None)])
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_classes(table).collect())
