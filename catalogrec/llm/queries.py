@@ -14,6 +14,7 @@ from .jaccard import jaccard_classes
 from .langid import identify_language, language_profiles
 from .mixing import mix
 from .quality import fit_quality, score_quality
+from .runs import detect_runs
 from .toxicity import fit_toxicity, score_toxicity
 from .transducer import count_tokens
 
@@ -168,6 +169,12 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = detect_runs(docs, keep=["doc_id"])
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_near_vectors": (op1_near_vectors, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
@@ -179,6 +186,7 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
+    "op13_runs": (op13_runs, None),
 }
 
 
