@@ -13,6 +13,7 @@ from .forest import nearest_neighbours
 from .jaccard import jaccard_classes
 from .langid import identify_language, language_profiles
 from .mixing import mix
+from .pii import find_pii, fit_pii
 from .quality import fit_quality, score_quality
 from .runs import detect_runs
 from .toxicity import fit_toxicity, score_toxicity
@@ -169,6 +170,53 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_pii(docs, fit_pii(docs), keep=["doc_id"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+# Base spans by the contract's patterns and tests. ``spans`` also holds the spans the method adds (two
+# cards that the base pattern takes as one failing match, written-out addresses), which SQL cannot
+# tell; so this is no registered oracle: the tests compare the base columns with it.
+BASE_PII_SQL = r"""
+with kinds(kind, ord, pat) as (
+  values ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+         ('ip', 2, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+         ('card', 3, '[0-9]([ -]?[0-9])+'),
+         ('phone', 4, '\+[0-9][ ().0-9-]+[0-9]')
+), docs as (
+  select row_number() over () as row_key, doc_id, coalesce(text, '') as t from documents
+), found as (
+  select d.row_key, k.kind, k.ord, regexp_extract_all(d.t, k.pat) as hits, regexp_split_to_array(d.t, k.pat) as gaps
+  from docs d, kinds k
+), spans as (
+  select row_key, kind, ord, hits[i] as hit,
+         list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) as start
+  from found, range(1, len(hits) + 1) r(i)
+), checked as (
+  select *, regexp_replace(hit, '[^0-9]', '', 'g') as dg from spans
+), valid as (
+  select row_key, kind, ord, start, start + length(hit) as stop from checked
+  where case kind
+    when 'email' then true
+    when 'ip' then list_bool_and(list_transform(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) <= 3 and coalesce(nullif(ltrim(x, '0'), ''), '0')::int <= 255))
+    when 'card' then length(dg) between 13 and 19
+      and list_sum(list_transform(range(0, length(dg)), lambda i: case when i % 2 = 0 then substr(dg, length(dg) - i, 1)::int
+                                                           else (2 * substr(dg, length(dg) - i, 1)::int) % 10 + (2 * substr(dg, length(dg) - i, 1)::int) // 10 end)) % 10 = 0
+    else length(dg) between 9 and 15 end
+), joined as (
+  select row_key, string_agg(kind || ':' || start || ':' || stop, ',' order by ord, start) as base,
+         count(*) filter (where kind = 'email') as n_email, count(*) filter (where kind = 'ip') as n_ip,
+         count(*) filter (where kind = 'card') as n_card, count(*) filter (where kind = 'phone') as n_phone
+  from valid group by row_key
+)
+select d.doc_id, coalesce(n_email, 0)::bigint as n_email, coalesce(n_ip, 0)::bigint as n_ip, coalesce(n_card, 0)::bigint as n_card,
+       coalesce(n_phone, 0)::bigint as n_phone, sha256(coalesce(base, '')) as base_sha256, coalesce(base, '') as spans
+from docs d left join joined j on d.row_key = j.row_key
+"""
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = detect_runs(docs, keep=["doc_id"])
@@ -186,6 +234,7 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
+    "op11_pii": (op11_pii, None),
     "op13_runs": (op13_runs, None),
 }
 
