@@ -12,6 +12,7 @@ from .extraction import extract_main_text
 from .forest import nearest_neighbours
 from .jaccard import jaccard_classes
 from .langid import identify_language, language_profiles
+from .lexical import rank_documents
 from .mixing import mix
 from .pii import find_pii, fit_pii
 from .quality import fit_quality, score_quality
@@ -217,6 +218,44 @@ from docs d left join joined j on d.row_key = j.row_key
 """
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return rank_documents(docs, items, k=10)
+
+
+OP12_SQL = r"""
+with docs as (
+  select row_number() over () as rk, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), stats as (
+  select count(*) filter (where len(terms) > 0)::bigint as big_n, coalesce(sum(len(terms)), 0)::bigint as big_l from docs
+), occurrences as (
+  select rk, doc_id, len(terms)::bigint as n, unnest(terms) as term from docs
+), tf as (
+  select rk, doc_id, n, term, count(*)::bigint as tf from occurrences group by rk, doc_id, n, term
+), df as (
+  select term, count(*)::bigint as df from tf group by term
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), scored as (
+  select a.item_id, t.rk, t.doc_id,
+         sum(floor(1000.0 * ln((2.0 * s.big_n + 2) / (2.0 * d.df + 1)))::bigint
+             * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * t.n * s.big_n) // s.big_l))))::bigint as score
+  from asked a join tf t on a.term = t.term join df d on d.term = t.term cross join stats s
+  group by a.item_id, t.rk, t.doc_id
+), ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id asc nulls last, rk) as rank
+  from scored where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = detect_runs(docs, keep=["doc_id"])
@@ -235,6 +274,7 @@ QUERIES = {
     "op9_language": (op9_language, None),
     "op10_extraction": (op10_extraction, None),
     "op11_pii": (op11_pii, None),
+    "op12_search": (op12_search, OP12_SQL),
     "op13_runs": (op13_runs, None),
 }
 
