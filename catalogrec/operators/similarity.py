@@ -76,6 +76,16 @@ class _Excluded:
         self._places = places[order]
         self._starts = np.searchsorted(codes[order], np.arange(len(known) + 1))
 
+    def pairs(self, begin: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row - begin, right place) of the excluded cells of rows begin .. begin+count-1."""
+        low, high = np.searchsorted(self._rows, [begin, begin + count])
+        first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
+        counts = last - first
+        total = int(counts.sum())
+        rows = np.repeat(self._rows[low:high] - begin, counts)
+        cells = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+        return rows.astype(np.int64), self._places[cells].astype(np.int64)
+
     def mask(self, scores: np.ndarray, begin: int) -> None:
         low, high = np.searchsorted(self._rows, [begin, begin + len(scores)])
         first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
@@ -87,23 +97,129 @@ class _Excluded:
             scores[rows, self._places[cells]] = -np.inf
 
 
-def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.Array):
-    """(left ids, right ids, scores) of the k best right rows of each left row.
+# Rows per ball of the right side's index, and rounds of the clustering that forms the balls.
+BALL_ROWS = 128
+_BALL_ROUNDS = 3
+# Bounds within this of the k-th score are searched: scores are rounded to SCORE_DECIMALS.
+_SLACK = 2 * 10.0**-SCORE_DECIMALS
+# Past this share of all pairs left to score after each row's first ball, a chunk is scored whole.
+_DENSE_SHARE = 0.5
+
+
+class BallIndex:
+    """The right rows of a block grouped into balls, each with its centre and radius.
+
+    For unit vectors q and x in a ball of centre c and radius r (the largest |x - c|),
+    q.x = q.c + q.(x - c) <= q.c + r, so a ball whose bound is below a query's k-th best score
+    holds none of its k best and is skipped. Balls come from a few rounds of spherical k-means
+    seeded by evenly spaced rows (no randomness: the same rows give the same balls).
+    """
 
-    ``known`` lists the keys of one side: other keys exclude nothing.
+    def __init__(self, right: VectorBlock, ball_rows: int = BALL_ROWS):
+        x = right.unit
+        n = len(x)
+        balls = max(1, ceil(n / ball_rows))
+        centres = x[np.linspace(0, n - 1, balls).astype(np.int64)] if n else np.zeros((0, x.shape[1]))
+        own = np.zeros(n, dtype=np.int64)
+        for _ in range(_BALL_ROUNDS if balls > 1 else 0):
+            own = self._assign(x, centres)
+            sums = np.zeros_like(centres)
+            np.add.at(sums, own, x)
+            size = np.linalg.norm(sums, axis=1)
+            used = size > 0
+            centres[used] = sums[used] / size[used, None]
+        present = np.unique(own)
+        order = np.argsort(own, kind="stable")
+        starts = np.searchsorted(own[order], present)
+        self.members = np.split(order, starts[1:])
+        self.centres = np.stack([x[m].mean(axis=0) for m in self.members]) if n else np.zeros((0, x.shape[1]))
+        self.radii = np.array([np.sqrt(((x[m] - c) ** 2).sum(axis=1)).max() for m, c in zip(self.members, self.centres)])
+        self.ball_of = np.empty(n, dtype=np.int64)
+        self.place_in_ball = np.empty(n, dtype=np.int64)
+        for b, m in enumerate(self.members):
+            self.ball_of[m] = b
+            self.place_in_ball[m] = np.arange(len(m))
+        self.scored = 0
+
+    @staticmethod
+    def _assign(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        step = max(1, _BLOCK_CELLS // max(1, len(centres)))
+        return np.concatenate([np.argmax(x[i : i + step] @ centres.T, axis=1) for i in range(0, len(x), step)])
+
+
+def _merge(best_s, best_i, rows, scores, ids, k):
+    """Fold new (scores, ids) of some rows into their k best; ties go to the lower id."""
+    s = np.concatenate([best_s[rows], scores], axis=1)
+    i = np.concatenate([best_i[rows], np.broadcast_to(ids, scores.shape)], axis=1)
+    order = np.lexsort((i, -s), axis=1)[:, :k]
+    best_s[rows] = np.take_along_axis(s, order, axis=1)
+    best_i[rows] = np.take_along_axis(i, order, axis=1)
+
+
+def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.Array, index: BallIndex | None = None):
+    """(left ids, right ids, scores) of the k best right rows of each left row, exactly.
+
+    ``known`` lists the keys of one side: other keys exclude nothing. ``right`` is taken in id
+    order (sorted here if it is not), so that equal scores go to the lower id. The right side is searched
+    through its ``BallIndex`` (built here unless given): each left row first scores the ball with
+    its highest bound, then every ball whose bound reaches its k-th best score so far.
     """
     if not len(left) or not len(right):
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, np.empty(0)
-    right = _take(right, np.argsort(right.ids, kind="stable"))
+    if np.any(np.diff(right.ids) < 0):
+        right, index = _take(right, np.argsort(right.ids, kind="stable")), None
+    index = index or BallIndex(right)
     excluded = _Excluded(left, right, known)
-    step = max(1, _BLOCK_CELLS // len(right))
+    n_balls = len(index.members)
+    step = max(1, _BLOCK_CELLS // max(n_balls, k))
+    unused = np.iinfo(np.int64).max
     found = []
     for start in range(0, len(left), step):
-        scores = np.round(left.unit[start : start + step] @ right.unit.T, SCORE_DECIMALS) + 0.0
-        excluded.mask(scores, start)
-        rows, cols = _best(scores, k)
-        found.append((left.ids[rows + start], right.ids[cols], scores[rows, cols]))
+        q = left.unit[start : start + step]
+        m = len(q)
+        bound = q @ index.centres.T + index.radii
+        best_s, best_i = np.full((m, k), -np.inf), np.full((m, k), unused, dtype=np.int64)
+        done = np.zeros((m, n_balls), dtype=bool)
+        ex_rows, ex_places = excluded.pairs(start, m)
+        ex_balls = index.ball_of[ex_places]
+        by_ball = np.argsort(ex_balls, kind="stable")
+        ex_starts = np.searchsorted(ex_balls[by_ball], np.arange(n_balls + 1))
+        position = np.full(m, -1, dtype=np.int64)
+
+        def score(ball: int, rows: np.ndarray) -> None:
+            members = index.members[ball]
+            scores = np.round(q[rows] @ right.unit[members].T, SCORE_DECIMALS) + 0.0
+            picked = by_ball[ex_starts[ball] : ex_starts[ball + 1]]
+            if len(picked):
+                position[rows] = np.arange(len(rows))
+                at = position[ex_rows[picked]]
+                hit = at >= 0
+                scores[at[hit], index.place_in_ball[ex_places[picked][hit]]] = -np.inf
+                position[rows] = -1
+            index.scored += scores.size
+            done[rows, ball] = True
+            _merge(best_s, best_i, rows, scores, right.ids[members], k)
+
+        first = np.argmax(bound, axis=1)
+        for ball in np.unique(first):
+            score(ball, np.flatnonzero(first == ball))
+        sizes = np.array([len(b) for b in index.members])
+        left_over = (~done & (bound >= best_s[:, -1:] - _SLACK)) @ sizes
+        if left_over.sum() > _DENSE_SHARE * m * len(right):
+            # Little is pruned (vectors without structure): one product beats a loop over balls.
+            scores = np.round(q @ right.unit.T, SCORE_DECIMALS) + 0.0
+            excluded.mask(scores, start)
+            index.scored += scores.size
+            rows, cols = _best(scores, k)
+            found.append((left.ids[rows + start], right.ids[cols], scores[rows, cols]))
+            continue
+        for ball in np.argsort(-bound.max(axis=0), kind="stable"):
+            rows = np.flatnonzero(~done[:, ball] & (bound[:, ball] >= best_s[:, -1] - _SLACK))
+            if len(rows):
+                score(ball, rows)
+        rows, cols = np.nonzero(np.isfinite(best_s))
+        found.append((left.ids[rows + start], best_i[rows, cols], best_s[rows, cols]))
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
@@ -202,9 +318,11 @@ def nearest(
 
         def finish_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = VectorBlock(shared.value)
+            block = _take(block, np.argsort(block.ids, kind="stable"))
             known = block.distinct_keys()
+            index = BallIndex(block)
             for batch in batches:
-                yield _batch(_nearest_in_block(VectorBlock(batch), block, k, known))
+                yield _batch(_nearest_in_block(VectorBlock(batch), block, k, known, index))
 
         return lhs.mapInArrow(finish_left, _RESULT)
 

@@ -155,6 +155,45 @@ def test_nearest_all_strategies(spark, small_bytes):
     assert got == brute_nearest(left, right, 7, lambda a, b: bool(set(hot[a]) & set(carried[b])))
 
 
+def _block(vectors, keys=None):
+    import pyarrow as pa
+
+    ids = list(vectors)
+    table = pa.table({
+        "id": pa.array(ids, pa.int64()),
+        "vec": pa.array([[float(x) for x in vectors[i]] for i in ids], pa.list_(pa.float64())),
+        "keys": pa.array([keys[i] if keys else None for i in ids], pa.list_(pa.string())),
+    })
+    return similarity.VectorBlock(table)
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_ball_index_is_exact_and_prunes_clustered_vectors(clustered):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16))
+    make = (lambda: centres[rng.integers(0, 40)] + 0.05 * rng.normal(size=16)) if clustered else (lambda: rng.normal(size=16))
+    right = {i: make() for i in range(3000)}
+    for i in range(100, 400):  # a hot group of copies: ties resolve by id
+        right[i] = right[100]
+    right[7] = np.zeros(16)
+    left = {i: make() for i in range(200)}
+    left[0] = right[100]
+    hot = {i: ["a"] if i % 4 == 0 else [f"q{i}"] for i in left}
+    carried = {i: ["a"] if i % 5 == 0 else None for i in right}
+    lhs, rhs = _block(left, hot), _block(right, carried)
+    index = similarity.BallIndex(rhs)
+    known = pa.array(["a"] + [f"q{i}" for i in left])
+    li, ri, _ = similarity._nearest_in_block(lhs, rhs, 6, known, index)
+    got = {}
+    for a, b in zip(li.tolist(), ri.tolist()):
+        got.setdefault(a, []).append(b)
+    assert got == brute_nearest(left, right, 6, lambda a, b: bool(set(hot[a]) & set(carried[b] or [])))
+    grid = len(left) * len(right)
+    assert index.scored < 0.25 * grid if clustered else index.scored <= 1.1 * grid
+
+
 def test_nearest_with_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
     found = similarity.nearest(df, df, 5, "id", "id").collect()
