@@ -31,10 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Documents a shard holds at most, and items searched by one task at most.
-SHARD_DOCUMENTS = 40_000
+# Impacts a shard holds at most, and items searched by one task at most.
+SHARD_POSTINGS = 400_000
 ITEMS_PER_TASK = 5_000
 # Query vocabularies up to this many terms are broadcast to the term occurrences.
 BROADCAST_TERMS = 2_000_000
@@ -154,8 +156,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), terms(F.col(text_column)).alias("terms"))
     rows = rows.withColumn("row_key", F.monotonically_increasing_id()).withColumn("n", F.size("terms").cast("long"))
-    stats = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L"), F.count(F.lit(1)).alias("rows")).first()
-    n_docs, n_terms, n_rows = int(stats["N"]), int(stats["L"]), int(stats["rows"])
+    stats = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    n_docs, n_terms = int(stats["N"]), int(stats["L"])
     asked = items.select(F.col(item_column).alias("item_id"), F.explode(F.array_distinct(terms(F.col(item_text)))).alias("term"))
     # Dense term ids (rows of the grid), numbered without moving the vocabulary into one task.
     distinct = asked.select("term").distinct()
@@ -167,6 +169,9 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     vocab = F.broadcast(vocabulary) if n_vocabulary <= BROADCAST_TERMS else vocabulary
     occurrences = rows.select("row_key", "doc_id", "n", F.explode("terms").alias("term")).join(vocab, "term")
     tf = occurrences.groupBy("row_key", "doc_id", "n", "term_id").agg(F.count(F.lit(1)).alias("tf"))
+    # Written once: df and the impacts read it, and its row count sizes the shards.
+    tf = cut(tf, "search-tf")
+    n_postings = tf.count()
     df = tf.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long")
     m = F.expr(f"10L + (90L * n * {n_docs}L) div {n_terms}L")
@@ -176,7 +181,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     postings = postings.select(
         "row_key", "doc_id", "term_id", (F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)")).alias("impact")
     )
-    shards = max(spark.sparkContext.defaultParallelism, math.ceil(n_rows / SHARD_DOCUMENTS))
+    shards = max(spark.sparkContext.defaultParallelism, math.ceil(n_postings / SHARD_POSTINGS))
     n_items = items.count()
     blocks = max(1, math.ceil(n_items / ITEMS_PER_TASK))
     postings = postings.withColumn("shard", F.pmod(F.xxhash64("row_key"), F.lit(shards)))
