@@ -206,7 +206,10 @@ def _csv_sources(spark, d):
     """Write the raw sources as CSV, read them with the loaders, count and compare by content."""
     folder = scratch_path(spark, "csv")
     raw = {"1": raw_source_1(spark, d), "2": raw_source_2(spark, d), "3": raw_source_3(spark, d)}
+    keys = {"1": "p_partkey", "2": "doc_id", "3": "page_id"}
     for name, df in raw.items():
+        # Written in key order, so that a row's place in the files (its book_id) is known to SQL.
+        df = df.orderBy(keys[name])
         # Latin-1 for the first file, as its loader expects.
         encoding = "ISO-8859-1" if name == "1" else "UTF-8"
         (
@@ -223,7 +226,7 @@ def _csv_sources(spark, d):
         load_source_2(spark, f"{folder}/2"),
         load_source_3(spark, f"{folder}/3"),
     ]
-    return merge_sources(frames).drop("book_id")
+    return merge_sources(frames)
 
 
 def _csv_inferred(spark, d):
@@ -301,7 +304,10 @@ QUERIES = {
     "corpus_stats": (_corpus_stats, _CORPUS_SQL),
     "csv_sources": (
         _csv_sources,
-        f"""WITH {MERGED_SQL} SELECT title, authors, description, year, series, language, pages, rating,
+        f"""WITH {MERGED_SQL} SELECT
+        CASE source WHEN 'book_dataset_1' THEN 0 WHEN 'books_dataset_clean' THEN 1 ELSE 2 END * 576460752303423488
+          + row_number() OVER (PARTITION BY source ORDER BY book_id) - 1 AS book_id,
+        title, authors, description, year, series, language, pages, rating,
         nullif(genres_raw, '') AS genres_raw, source FROM merged""",
     ),
     "csv_inferred": (

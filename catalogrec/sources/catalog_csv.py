@@ -155,6 +155,123 @@ def read_numbered_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", m
     return missing_to_null(numbered.drop("_file", "_block", "_at", "_first", "_before"))
 
 
+def _running(column: str, out: str, seed: str | None = None, modulus: int | None = None):
+    """A running sum of ``column`` over the lines before each line of its piece of a file.
+
+    Lines of one piece arrive together and in file order (the text reader, a map and a broadcast
+    join keep the order of a partition), so a sum per run of equal pieces suffices; the running
+    value is carried from batch to batch. ``seed`` names a column added to every line of a piece.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last, carried = None, 0
+        for batch in batches:
+            files = batch.column("_file").to_pylist()
+            blocks = np.asarray(batch.column("_block"), dtype=np.int64)
+            values = np.asarray(batch.column(column), dtype=np.int64)
+            keys = list(zip(files, blocks.tolist()))
+            fresh = np.array([k != p for k, p in zip(keys, [last, *keys[:-1]])], dtype=bool)
+            total = np.cumsum(values)
+            starts = np.flatnonzero(fresh)
+            run_of = np.cumsum(fresh) - 1
+            if len(values) and not fresh[0]:
+                starts = np.r_[0, starts]
+                run_of = run_of + 1
+            lead = np.zeros(len(starts), dtype=np.int64)
+            if len(values) and not fresh[0]:
+                lead[0] = carried
+            before = total - values - (total[starts] - values[starts] - lead)[run_of]
+            if len(values):
+                last, carried = keys[-1], int(before[-1] + values[-1])
+            result = before + (np.asarray(batch.column(seed), dtype=np.int64) if seed else 0)
+            if modulus:
+                result = result % modulus
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in batch.schema.names] + [pa.array(result, pa.int64())],
+                names=[*batch.schema.names, out],
+            )
+
+    return run
+
+
+def _csv_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines of the files with their piece, place and quote count; split as text files are."""
+    raw = spark.read.text(path)
+    utf8 = encoding.upper().replace("-", "") == "UTF8"
+    line = F.col("value") if utf8 else F.decode(F.col("value").cast("binary"), encoding)
+    lines = raw.select(
+        line.alias("_line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    lines = lines.withColumn("_q", F.length("_line") - F.length(F.regexp_replace("_line", '"', "")))
+    schema = "_line string, _file string, _block long, _at long, _q int, _before long"
+    return lines.mapInArrow(_running("_q", "_before", modulus=2), schema)
+
+
+def read_split_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``read_numbered_csv`` for files with line breaks inside quotes, read by as many tasks as pieces.
+
+    Text splitting cuts files at line breaks, some of which lie inside quotes. Each line knows the
+    parity of quotes before it in its piece; a small table of pieces (one row each) adds up the
+    parities of earlier pieces, so each piece knows whether it starts inside quotes, and the
+    records begun before it. A record starts on a line with an even count of quotes before it. Lines
+    that hold a whole record are parsed in place; only the lines of records over several lines are
+    gathered by record number, in order, and joined by a line break. Rows are numbered in file
+    order (files by path), the header record of each file left out; empty records are skipped.
+    """
+    lines = _csv_lines(spark, path, encoding)
+    pieces = lines.groupBy("_file", "_block").agg(
+        (F.sum("_q") % 2).alias("_odd"),
+        F.count(F.lit(1)).alias("_lines"),
+        F.count(F.when(F.col("_before") == 0, 1)).alias("_starts0"),
+        F.count(F.when(F.col("_before") == 1, 1)).alias("_starts1"),
+    )
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_inside", F.coalesce(F.sum("_odd").over(in_file), F.lit(0)) % 2)
+    pieces = pieces.withColumn("_starts", F.when(F.col("_inside") == 0, F.col("_starts0")).otherwise(F.col("_starts1")))
+    # One row per piece of a file: the window over all pieces orders files by path.
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_records_before", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)))
+    pieces = pieces.withColumn("_file_rank", F.dense_rank().over(Window.orderBy("_file")) - 1)
+    pieces = pieces.withColumn("_header", F.min("_records_before").over(Window.partitionBy("_file")))
+    pieces = pieces.select("_file", "_block", "_inside", "_records_before", "_file_rank", "_header")
+    placed = lines.join(F.broadcast(pieces), ["_file", "_block"])
+    placed = placed.withColumn("_start", ((F.col("_inside") + F.col("_before")) % 2 == 0).cast("long"))
+    # The record of a line: records begun before its piece, plus those begun in it up to here.
+    placed = placed.mapInArrow(
+        _running("_start", "_begun", seed="_records_before"), f"{', '.join(f'{n} {t}' for n, t in placed.dtypes)}, _begun long"
+    )
+    placed = placed.withColumn("_record", F.col("_begun") + F.col("_start") - 1).withColumn("_start", F.col("_start") == 1)
+    ends = (F.col("_inside") + F.col("_before") + F.col("_q")) % 2 == 0
+    whole = placed.where(F.col("_start") & ends).select("_record", "_file_rank", "_header", F.col("_line").alias("_text"))
+    parts = placed.where(~(F.col("_start") & ends))
+    joined = parts.groupBy("_record").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "_line"))).alias("_parts"),
+        F.first("_file_rank").alias("_file_rank"),
+        F.first("_header").alias("_header"),
+    )
+    joined = joined.select("_record", "_file_rank", "_header", F.concat_ws("\n", F.col("_parts._line")).alias("_text"))
+    records = whole.unionByName(joined)
+    header = records.where(F.col("_record") == F.col("_header")).orderBy("_file_rank").select("_text").first()
+    if header is None:
+        return spark.createDataFrame([], f"{ROW_ID} long")
+    import csv
+
+    names = next(csv.reader([header["_text"]], quotechar='"', doublequote=True))
+    ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    rows = records.where((F.col("_record") != F.col("_header")) & (F.col("_text") != ""))
+    parsed = rows.select(
+        F.from_csv("_text", ddl, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}).alias("_r"),
+        (F.col("_record") - F.col("_file_rank") - 1).alias(ROW_ID),
+    )
+    return missing_to_null(parsed.select("_r.*", ROW_ID))
+
+
 def conform(df: DataFrame, columns: dict[str, Column], source: str, rank: int, row_id: Column | None = None) -> DataFrame:
     """Project to the common schema; columns not given are null. Adds ``book_id``."""
     place = row_id if row_id is not None else F.monotonically_increasing_id()
@@ -203,15 +320,15 @@ def from_source_3(df: DataFrame, row_id: Column | None = None) -> DataFrame:
 
 
 def load_source_1(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_1(read_numbered_csv(spark, path, "ISO-8859-1"), F.col(ROW_ID))
+    return from_source_1(read_split_csv(spark, path, "ISO-8859-1"), F.col(ROW_ID))
 
 
 def load_source_2(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_2(read_numbered_csv(spark, path), F.col(ROW_ID))
+    return from_source_2(read_split_csv(spark, path), F.col(ROW_ID))
 
 
 def load_source_3(spark: SparkSession, path: str) -> DataFrame:
-    return from_source_3(read_numbered_csv(spark, path), F.col(ROW_ID))
+    return from_source_3(read_split_csv(spark, path), F.col(ROW_ID))
 
 
 def merge_sources(frames: list[DataFrame]) -> DataFrame:

@@ -410,3 +410,29 @@ def test_spread_starts_no_job(spark):
     spread(spark.range(10).repartition(3), "id")
     assert list(tracker.getJobIdsForGroup("spread")) == []
     spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1"])
+def test_split_csv_reads_quoted_line_breaks_in_several_tasks(spark, tmp_path, encoding):
+    import csv
+
+    from catalogrec.sources.catalog_csv import ROW_ID, read_split_csv
+
+    rng = random.Random(4)
+    texts = ["plain", 'with "quotes"', "line\nbreak", 'two\n\nbreaks, and "q"\n', "", "NA", "café", "x" * 3000 + "\n" + "y" * 3000]
+    rows = [[f"b{i}", rng.choice(texts), str(i)] for i in range(6000)]
+    for part in range(3):
+        with open(tmp_path / f"part-{part}.csv", "w", newline="", encoding=encoding) as f:
+            writer = csv.writer(f, lineterminator="\n")
+            writer.writerow(["id", "text", "n"])
+            writer.writerows(rows[part * 2000 : (part + 1) * 2000])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 32768)
+    try:
+        read = read_split_csv(spark, str(tmp_path), encoding)
+        got = sorted((r[ROW_ID], r["id"], r["text"], r["n"]) for r in read.collect())
+        pieces = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert pieces > 3
+    missing = {"", "NA"}
+    assert got == [(i, r[0], None if r[1] in missing else r[1], r[2]) for i, r in enumerate(rows)]
