@@ -229,8 +229,14 @@ def _json_history(spark, d):
     rows = _preferences(spark, d)
     write_json(rows, path)
     write_json(rows, path, append=True)
-    good, _ = read_json_history(spark, path, "query_id long, description string, favorite_books string")
-    return good.groupBy("query_id", "description", "favorite_books").agg(F.count(F.lit(1)).alias("n"))
+    # Lines cut short, one per part: each must come back as a broken row, none may vanish.
+    cut_short = F.concat(F.lit('{"query_id": '), F.col("p_partkey").cast("string"), F.lit(', "description": "'), F.col("p_name"))
+    table(spark, d, "part").select(cut_short.alias("value")).write.mode("append").text(path)
+    good, bad = read_json_history(spark, path, "query_id long, description string, favorite_books string")
+    counted = good.groupBy("query_id", "description", "favorite_books").agg(F.count(F.lit(1)).alias("n"))
+    broken = bad.agg(F.lit(None).cast("long").alias("query_id"), F.lit("broken").alias("description"),
+                     F.lit(None).cast("string").alias("favorite_books"), F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(broken)
 
 
 def _stored_vectors(spark, d):
@@ -442,7 +448,8 @@ QUERIES = {
     "json_history": (
         _json_history,
         """SELECT event_id AS query_id, event_type AS description, p_name AS favorite_books, CAST(2 AS BIGINT) AS n
-        FROM events JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey""",
+        FROM events JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey
+        UNION ALL SELECT CAST(NULL AS BIGINT), 'broken', CAST(NULL AS VARCHAR), count(*) FROM part""",
     ),
     "stored_vectors": (
         _stored_vectors,

@@ -42,38 +42,82 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     return folder
 
 
-# A line that begins a document written over several lines, or a list.
+# The first non-blank line of a file that holds one document over several lines, or a list.
 _OPENING = r"\A\s*(\[|\{\s*\z)"
+_WHOLE = "_file string, text string, broken boolean, position long"
 
 
-def read_json_history(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, corrupt rows) of a JSON history; a missing history has no rows.
+def _parse_whole(lines):
+    """The documents of one file that holds a list or one document, and what cannot be read.
+
+    The first value of the file is parsed; a list gives one row per element (an element that is no
+    object is a broken row), an object one row. Whatever stands behind the first value is one
+    broken row, with its place (in signs from the start of the file); so is a first value that
+    cannot be read, with place 0.
+    """
+    import json
+
+    import pandas as pd
+
+    lines = lines.sort_values(["_block", "_at"])
+    text = "\n".join(lines["value"].tolist())
+    name = lines["_file"].iloc[0]
+    rows = []
+    start = len(text) - len(text.lstrip())
+    try:
+        value, end = json.JSONDecoder().raw_decode(text, start)
+    except ValueError:
+        return pd.DataFrame([(name, text, True, 0)], columns=["_file", "text", "broken", "position"])
+    for item in value if isinstance(value, list) else [value]:
+        if isinstance(item, dict):
+            rows.append((name, json.dumps(item), False, None))
+        elif item is not None:
+            rows.append((name, json.dumps(item), True, start))
+    rest = text[end:]
+    if rest.strip():
+        rows.append((name, rest, True, end))
+    return pd.DataFrame(rows, columns=["_file", "text", "broken", "position"])
 
-    A file holds one document per line, or one list of documents, or one document, either with line
-    breaks. Files of the latter kinds are told by their opening line and read whole; a broken one is
-    one corrupt row.
+
+def read_json_history(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, broken rows) of a JSON history; a missing history has no rows.
+
+    A file holds one document per line, or one list of documents, or one document, either over
+    several lines. Its kind is told by its first non-blank line alone: ``[`` or a lone ``{`` opens
+    a whole file, anything else makes a line file, whatever its later lines hold. Every non-blank
+    line of a line file is a good or a broken row; a whole file is read by one task (it is one
+    value) and what does not belong to its first value is broken. Broken rows carry their text
+    (``_corrupt_record``), their file and, for whole files, the place of the text in the file. No
+    file name passes through the driver.
     """
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     full = StructType([*wanted.fields, StructField(CORRUPT, StringType())])
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], full)
-        return empty.drop(CORRUPT), empty.select(CORRUPT)
-    # Parsed from lines: the JSON source refuses to return corrupt records on their own.
+        return empty.drop(CORRUPT), empty.select(CORRUPT, F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("position"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    lines = spark.read.text(path).where("value <> ''").withColumn("_file", F.col("_metadata.file_path"))
-    # The names of such files only, as the driver lists all files of the history anyway.
-    whole = [r["_file"] for r in lines.where(F.col("value").rlike(_OPENING)).select("_file").distinct().collect()]
-    if whole:
-        lines = lines.where(~F.col("_file").isin(whole))
-    rows = lines.select(F.from_json("value", full, options).alias("r")).select("r.*")
-    if whole:
-        texts = spark.read.text(whole, wholetext=True)
-        found = texts.select("value", F.from_json("value", ArrayType(wanted), {"mode": "PERMISSIVE"}).alias("list"))
-        listed = found.where("list is not null").select(F.explode("list").alias("r")).where("r is not null").select("r.*")
-        broken = found.where("list is null").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in wanted], F.col("value").alias(CORRUPT))
-        rows = rows.unionByName(listed.withColumn(CORRUPT, F.lit(None).cast("string"))).unionByName(broken)
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    present = lines.where(F.trim("value") != "")
+    first = present.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_at")).alias("_first"))
+    kinds = first.select("_file", F.col("_first").rlike(_OPENING).alias("_whole"))
+    marked = present.join(kinds, "_file")
+    by_line = marked.where(~F.col("_whole")).select(
+        F.from_json("value", full, options).alias("r"), "_file", F.lit(None).cast("long").alias("position")
+    ).select("r.*", "_file", "position")
+    whole = marked.where("_whole").select("value", "_file", "_block", "_at").groupBy("_file").applyInPandas(_parse_whole, _WHOLE)
+    read = whole.where(~F.col("broken")).select(F.from_json("text", full, options).alias("r"), "_file", "position").select("r.*", "_file", "position")
+    broken = whole.where("broken").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in wanted], F.col("text").alias(CORRUPT), "_file", "position"
+    )
+    rows = by_line.unionByName(read).unionByName(broken)
     good = rows.where(F.col(CORRUPT).isNull()).select(*wanted.fieldNames())
-    return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    bad = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, F.col("_file").alias("file"), "position")
+    return good, bad
 
 
 def read_metrics(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:

@@ -139,6 +139,20 @@ def test_json_history(spark, tmp_path):
     assert read_metrics(spark, str(tmp_path / "m.json")).first().accuracy == 0.5
 
 
+def test_json_history_of_mixed_files_loses_no_row(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"a":1}\n[broken\n{"a":2}\n\n')  # a line file stays one
+    (folder / "b.json").write_text('[\n {"a":3},\n {"a":4}, 5\n]\ntrailing junk\n')
+    (folder / "c.json").write_text('{\n "a": 6\n}\n')
+    (folder / "d.json").write_text('{\n "a": 7,\n')
+    (folder / "e.json").write_text("\n\n")
+    good, bad = read_json_history(spark, str(folder), "a int")
+    assert sorted(r.a for r in good.collect()) == [1, 2, 3, 4, 6]
+    broken = sorted((r["_corrupt_record"], r.file.rsplit("/", 1)[-1], r.position) for r in bad.collect())
+    assert broken == [("\ntrailing junk", "b.json", 25), ("5", "b.json", 0), ("[broken", "a.json", None), ('{\n "a": 7,', "d.json", 0)]
+
+
 def test_stream_matches_batch_and_survives_replay(spark, catalog, engine, tmp_path):
     encode, vectors = engine
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
