@@ -333,7 +333,10 @@ def main_text(html: str, stop: frozenset[str]) -> str:
     for i, b in enumerate(found):
         label = labels[i]
         if label in ("near", "short"):
-            sides = {before[i], after[i]}
+            # Outside an article the edge of the page counts as a bad neighbour of a short first or
+            # last block (footers, bylines).
+            edge = label == "short" and not b.region
+            sides = {"bad" if edge and i == 0 else before[i], "bad" if edge and i == len(found) - 1 else after[i]}
             if "good" in sides:
                 # Middling text goes with a good neighbour, short text with two unless it stands in the article.
                 label = "good" if label == "near" or b.region or "bad" not in sides else "bad"
