@@ -124,6 +124,59 @@ def _cp1252_tables() -> tuple[str, str]:
     return "".join(visible), "".join(raw)
 
 
+# Text damaged more than once (UTF-8 read as Latin-1, written, read so again) is decoded again
+# while a round lowers the count of damage signs, for at most this many rounds.
+MOJIBAKE_ROUNDS = 3
+# Terminal control sequences: CSI (colours, cursor), OSC (titles, links) and two-sign escapes.
+_TERMINAL_CODES = r"\x{1b}(\[[0-?]*[ -/]*[@-~]|\][^\x{07}\x{1b}]*(\x{07}|\x{1b}\\)?|[@-Z\\-_])"
+# A character reference: named, decimal or hexadecimal, ended by a semicolon.
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_COMBINING = r"\p{M}"
+
+
+def _damage(t: Column) -> Column:
+    """Signs of UTF-8 read as Latin-1 or windows-1252: a lead byte's letter before a trail byte's."""
+    visible, _ = _cp1252_tables()
+    return F.regexp_count(t, F.lit(rf"[\x{{c2}}-\x{{f4}}][\x{{80}}-\x{{bf}}{visible}]"))
+
+
+def repair_mojibake_rounds(c: Column | str, rounds: int = MOJIBAKE_ROUNDS) -> Column:
+    """``repair_mojibake`` again and again while it lowers the damage signs; each round is kept
+    only if it does, so sound text and text that only looks damaged stay as they are."""
+    def one_round(t: Column) -> Column:
+        # The pair (before, after) in one array: no lambda refers to the variable of another.
+        return _let(F.array(t, repair_mojibake(t)), lambda b: F.when(_damage(b[1]) < _damage(b[0]), b[1]).otherwise(b[0]))
+
+    out = _col(c)
+    for _ in range(rounds):
+        out = _let(out, lambda t: one_round(t))
+    return out
+
+
+@F.pandas_udf(StringType())
+def _unescape_references(s: pd.Series) -> pd.Series:
+    """Every character reference of the HTML table (named, decimal, hexadecimal) that ends in ``;``;
+    text with markup (``<``) is left alone."""
+    import html
+    import re
+
+    pattern = re.compile(_REFERENCE)
+    return s.map(lambda t: t if t is None or "<" in t else pattern.sub(lambda m: html.unescape(m.group()), t))
+
+
+def unescape_all_entities(c: Column | str) -> Column:
+    """Every character reference of the HTML table, through Python; text with markup (``<``) is left
+    alone, as by ``unescape_entities``. Not part of ``repair_text``: Spark evaluates no Python
+    function inside the conditional branches that keep ordinary text on the fast path, so this is
+    a column of its own, for a select."""
+    return _unescape_references(unescape_entities(c))
+
+
+def compose(c: Column | str) -> Column:
+    """Canonical composition (NFC) through Python; a column of its own, like ``unescape_all_entities``."""
+    return normalize_nfc(_col(c))
+
+
 def repair_mojibake(c: Column | str) -> Column:
     """UTF-8 that was read as Latin-1 or windows-1252, decoded again; other text unchanged."""
     visible, raw = _cp1252_tables()
@@ -148,7 +201,8 @@ def unescape_entities(c: Column | str) -> Column:
 
 
 def repair_text(c: Column | str) -> Column:
-    """Entities, mojibake, ligatures, full-width forms, curly quotes, line ends, control chars.
+    """Terminal codes, listed entities, mojibake (also damaged two or three times), ligatures,
+    full-width forms, curly quotes, line ends, control chars.
 
     Ordinary text is recognised by one scan and left as it is.
     """
@@ -168,7 +222,8 @@ def _repair_unusual(text: Column) -> Column:
         special = t.rlike(r"[\x{2018}-\x{201f}\x{3000}\x{fb00}-\x{fb06}\x{ff01}-\x{ff5e}]")
         return F.when(special, plain_forms(t)).otherwise(t)
 
-    out = _let(_let(unescape_entities(text), repair_mojibake), with_plain_forms)
+    out = F.regexp_replace(text, _TERMINAL_CODES, "")
+    out = _let(_let(unescape_entities(out), lambda t: repair_mojibake_rounds(t)), with_plain_forms)
     out = F.regexp_replace(out, r"\r\n|[\r\x{85}\x{2028}\x{2029}]", "\n")
     return F.regexp_replace(out, _CONTROL_CHARS, "")
 

@@ -76,9 +76,14 @@ def _embedding_text(spark, d):
 
 
 def _mojibake(spark, d):
-    damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    once = lambda t: F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    coloured = F.concat(F.lit("\x1b[1;31m"), F.col("text"), F.lit("\x1b[0m"))
     return texts(spark, d, "documents", "doc_id", "text").select(
-        "doc_id", repair_text(damaged).alias("from_damaged"), repair_text("text").alias("from_sound")
+        "doc_id",
+        repair_text(once("text")).alias("from_damaged"),
+        repair_text("text").alias("from_sound"),
+        repair_text(once(once("text"))).alias("from_twice"),
+        repair_text(coloured).alias("from_terminal"),
     )
 
 
@@ -311,7 +316,8 @@ QUERIES = {
     ),
     "mojibake_repair": (
         _mojibake,
-        f"SELECT doc_id, {q.repaired('text')} AS from_damaged, {q.repaired('text')} AS from_sound FROM documents",
+        f"""SELECT doc_id, {q.repaired('text')} AS from_damaged, {q.repaired('text')} AS from_sound,
+        {q.repaired('text')} AS from_twice, {q.repaired('text')} AS from_terminal FROM documents""",
     ),
     "author_clean": (
         _authors,

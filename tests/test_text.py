@@ -118,3 +118,18 @@ def test_likert_check(spark):
     valid, rejected = split_valid(df)
     assert {r.query_id for r in rejected.collect()} == {2, 3}
     assert {r.query_id: r.intensity_action for r in valid.collect()} == {1: 1, 4: 3}
+
+
+def test_repair_of_text_damaged_several_times_and_terminal_codes(spark):
+    from catalogrec.functions.text import compose, repair_text, unescape_all_entities
+
+    once = lambda t: t.encode("utf-8").decode("latin-1")
+    sound = "naïve café – “quote” déjà"
+    rows = [(once(sound),), (once(once(sound)),), (once(once(once(sound))),), ("\x1b[1;31mred\x1b[0m and \x1b]0;t\x07x",),
+            ("Ã©tÃ© alone Ã",), ("plain",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(repair_text("t")).collect()]
+    assert got[:3] == ['naïve café - "quote" déjà'.replace("-", "–")] * 3
+    assert got[3:] == ["red and x", "Ã©tÃ© alone Ã", "plain", None]
+    more = spark.createDataFrame([("it&#8217;s caf&eacute; a&mdash;b &#x263A; &nope; AT&T",), ("<b>&eacute;</b>",), ("é",)], "t string")
+    assert [r[0] for r in more.select(unescape_all_entities("t")).collect()] == ["it’s café a—b ☺ &nope; AT&T", "<b>&eacute;</b>", "é"]
+    assert more.select(compose("t")).collect()[2][0] == "é"
