@@ -81,7 +81,8 @@ def build_catalog(
     stop_words: list[str] | None = None,
     force_rebuild: bool = False,
 ) -> DataFrame:
-    """Read, build and store the catalogue at ``cache_path``; later calls reuse it."""
+    """Read, build and store the catalogue at ``cache_path``; later calls with the same input files
+    and parameters reuse it, other files or parameters rebuild it."""
 
     def build() -> DataFrame:
         # Book ids follow file positions, so they are fixed by writing the merged rows once.
@@ -94,7 +95,8 @@ def build_catalog(
         )
         return build_catalog_from(merged, embedding_max_words, stop_words)
 
-    return materialize(spark, cache_path, build, force_rebuild)
+    params = {"embedding_max_words": embedding_max_words, "stop_words": stop_words}
+    return materialize(spark, cache_path, build, force_rebuild, inputs=[source_1, source_2, source_3], params=params)
 
 
 def step_counts(merged: DataFrame) -> DataFrame:

@@ -17,16 +17,75 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+MANIFEST = "_MANIFEST"
+
+
+def input_manifest(spark: SparkSession, inputs: list[str], params: dict | None = None) -> str:
+    """A digest of the input files (path, size, modification time, all files below each input)
+    and of the parameters. Only file metadata is listed, as any reader of the files lists it."""
+    import hashlib
+    import json
+
+    digest = hashlib.sha256(json.dumps(params or {}, sort_keys=True, default=str).encode())
+    conf = spark._jsc.hadoopConfiguration()
+    for name in inputs:
+        root = spark._jvm.org.apache.hadoop.fs.Path(name)
+        fs = root.getFileSystem(conf)
+        digest.update(f"\0{name}".encode())
+        if not fs.exists(root):
+            digest.update(b"\0missing")
+            continue
+        files = fs.listFiles(root, True)
+        found = []
+        while files.hasNext():
+            status = files.next()
+            found.append(f"{status.getPath().toString()}|{status.getLen()}|{status.getModificationTime()}")
+        for line in sorted(found):
+            digest.update(line.encode())
+    return digest.hexdigest()
+
+
+def _read_small(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, path):
+        return None
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, path: str, text: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def materialize(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], force_rebuild: bool = False
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    force_rebuild: bool = False,
+    inputs: list[str] | None = None,
+    params: dict | None = None,
 ) -> DataFrame:
-    """The Parquet table at ``path``, built and written first if absent or forced.
+    """The Parquet table at ``path``, built and written first if absent, forced, or built from
+    other inputs or parameters than now.
 
-    The written table also cuts the lineage: later jobs restart from files, not from the inputs.
+    With ``inputs``, a manifest (``input_manifest``) is written beside the table, and a complete
+    table is reused only if its manifest equals the one of the inputs now: another file at the same
+    path, a changed file or other parameters rebuild it. The written table also cuts the lineage:
+    later jobs restart from files, not from the inputs.
     """
     complete = path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
-    if force_rebuild or not complete:
+    wanted = input_manifest(spark, inputs, params) if inputs is not None else None
+    same = wanted is None or (complete and _read_small(spark, f"{path.rstrip('/')}/{MANIFEST}") == wanted)
+    if force_rebuild or not complete or not same:
         build().write.mode("overwrite").parquet(path)
+        if wanted is not None:
+            _write_small(spark, f"{path.rstrip('/')}/{MANIFEST}", wanted)
     return spark.read.parquet(path)
 
 

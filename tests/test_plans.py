@@ -56,6 +56,27 @@ def catalog(spark, tmp_path_factory):
     return first
 
 
+def test_materialize_reuses_by_content(spark, tmp_path):
+    from catalogrec.sources.storage import materialize
+
+    source = tmp_path / "in.csv"
+    source.write_text("a\n1\n")
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.read.option("header", True).csv(str(source))
+
+    table = str(tmp_path / "table")
+    assert materialize(spark, table, build, inputs=[str(source)], params={"k": 1}).count() == 1
+    assert materialize(spark, table, build, inputs=[str(source)], params={"k": 1}).count() == 1
+    assert len(built) == 1  # same files, same parameters: reused
+    source.write_text("a\n1\n2\n")  # another content at the same path
+    assert materialize(spark, table, build, inputs=[str(source)], params={"k": 1}).count() == 2
+    materialize(spark, table, build, inputs=[str(source)], params={"k": 2})
+    assert len(built) == 3
+
+
 def test_catalog(catalog):
     rows = {r.title: r for r in catalog.collect()}
     assert set(rows) == {"Dune", "Café", "Twilight", "Twilight (Saga #1)", "Ghosts"}
