@@ -260,11 +260,12 @@ TITLED_SQL = """(SELECT p_partkey AS book_id, CASE p_partkey % 4 WHEN 0 THEN upp
 
 
 def _favourites(spark, d):
-    """One reader per nation, who names the parts of one size."""
+    """One reader per nation, who names the parts of the sizes dealt to it (every size has a reader)."""
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("query_id"))
+    readers = max(1, nations.count())
     named = table(spark, d, "part").select(
-        (F.col("p_size") - 1).cast("long").alias("query_id"), "p_name"
+        F.pmod(F.col("p_size") - 1, F.lit(readers)).cast("long").alias("query_id"), "p_name"
     )
-    nations = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("query_id"))
     liked = named.distinct().groupBy("query_id").agg(F.sort_array(F.collect_list("p_name")).alias("_names"))
     return nations.join(liked, "query_id").select("query_id", F.array_join("_names", " , ").alias("favorite_books"))
 
@@ -318,7 +319,8 @@ QUERIES = {
     "already_read": (
         _already_read,
         f"""WITH b AS (SELECT book_id, lower(title) AS t FROM {TITLED_SQL}),
-        f AS (SELECT DISTINCT n_nationkey AS query_id, p_name AS f FROM nation JOIN part ON p_size - 1 = n_nationkey)
+        f AS (SELECT DISTINCT n_nationkey AS query_id, p_name AS f FROM nation
+              JOIN part ON (p_size - 1) % (SELECT count(*) FROM nation) = n_nationkey)
         SELECT DISTINCT CAST(query_id AS BIGINT) AS query_id, book_id FROM b JOIN f ON {MATCHES_SQL}""",
     ),
     "exclude_read": (

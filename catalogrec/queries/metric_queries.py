@@ -127,9 +127,11 @@ def _summary_quality(spark, d):
     corpus = table(spark, d, "documents").select(F.col("doc_id").alias("book_id"), F.col("text").alias("text_full"))
     model = fit_encoder(corpus)
     vectors = encode_text(model, corpus, "text_full").select("book_id", "embedding")
-    answers = _answers(spark, d).join(
-        table(spark, d, "documents").select(F.col("doc_id").alias("turn"), F.col("doc_id").alias("top_book_id")), "turn"
-    )
+    # Each answer's top book is a document spread over all of them by its query id.
+    documents = table(spark, d, "documents").select(F.col("doc_id").alias("top_book_id"))
+    n_documents = max(1, documents.count())
+    answers = _answers(spark, d).withColumn("top_book_id", F.pmod(F.xxhash64("query_id"), F.lit(n_documents)))
+    answers = answers.join(documents, "top_book_id")
     out = summary_quality(answers, catalog, vectors, lambda df, c: encode_text(model, df, c))
     return out.select("query_id", "coherence_score", "titles_verified_count", "titles_total_count", "hallucination_rate")
 
