@@ -21,7 +21,9 @@ def confusion(
 
     Rows are counted at once (map-side combined) and the matrix, one row per pair of classes, is held
     as a local table: whatever is derived from it does not read the predictions again. More than
-    ``MAX_CLASSES`` distinct values are an error.
+    ``MAX_CLASSES`` distinct values are an error. A null actual or predicted label is a class of its
+    own, listed last, so the cells add up to the rows (with ``labels`` given, rows of other labels
+    are left out as before, but a null is kept).
     """
     spark = predictions.sparkSession
     counts = predictions.groupBy(
@@ -29,11 +31,13 @@ def confusion(
     ).agg(F.count(F.lit(1)).alias("count"))
     cells = counts.limit(MAX_CLASSES * MAX_CLASSES + 1).collect()
     known = {(r["actual"], r["predicted"]): r["count"] for r in cells}
-    found = {v for pair in known for v in pair if v is not None} if labels is None else set(labels)
+    # A missing label is a class of its own (listed last), so that every row is counted.
+    found = {v for pair in known for v in pair} if labels is None else set(labels) | {v for pair in known for v in pair if v is None}
     if len(found) > MAX_CLASSES or len(cells) > MAX_CLASSES * MAX_CLASSES:
         raise ValueError(f"columns {actual} and {predicted} have more than {MAX_CLASSES} classes")
     dtype = counts.schema["actual"].dataType
-    rows = [(a, p, known.get((a, p), 0)) for a in sorted(found) for p in sorted(found)]
+    ordered = sorted(found, key=lambda v: (v is None, v if v is not None else 0))
+    rows = [(a, p, known.get((a, p), 0)) for a in ordered for p in ordered]
     schema = StructType([StructField("actual", dtype), StructField("predicted", dtype), StructField("count", LongType())])
     return spark.createDataFrame(rows, schema)
 
@@ -54,7 +58,7 @@ def one_vs_rest(matrix: DataFrame) -> DataFrame:
                 F.struct(F.col("predicted").alias("label"), F.lit(0).alias("is_row")),
             )
         ).alias("_s"),
-        (F.col("actual") == F.col("predicted")).alias("_hit"),
+        F.col("actual").eqNullSafe(F.col("predicted")).alias("_hit"),
         "count",
     )
     row = F.col("_s.is_row") == 1

@@ -436,3 +436,11 @@ def test_split_csv_reads_quoted_line_breaks_in_several_tasks(spark, tmp_path, en
     assert pieces > 3
     missing = {"", "NA"}
     assert got == [(i, r[0], None if r[1] in missing else r[1], r[2]) for i, r in enumerate(rows)]
+
+
+def test_confusion_counts_rows_with_a_null_label(spark):
+    rows = spark.createDataFrame([("a", "a"), (None, "a"), ("a", None), ("b", "a")], "actual string, predicted string")
+    matrix = {(r.actual, r.predicted): r["count"] for r in metrics.confusion(rows).collect()}
+    assert sum(matrix.values()) == 4 and matrix[None, "a"] == 1 and matrix["a", None] == 1 and len(matrix) == 9
+    report = {r.label: (r.tp, r.fp, r.fn) for r in metrics.one_vs_rest(metrics.confusion(rows)).collect()}
+    assert report["a"] == (1, 2, 1) and report[None] == (0, 1, 1)
