@@ -34,10 +34,13 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     One (column, value) pair stream is made distinct, so each column's values are combined
     map-side instead of expanding the whole row once per column.
     """
+    def compact(c: str):
+        # Long texts cross the shuffle as their SHA-256 digest, short values as they are.
+        text = F.col(c).cast("string")
+        return F.when(F.length(text) >= 64, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+
     pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-        ).alias("_p")
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), compact(c).alias("value")) for c in columns])).alias("_p")
     ).select("_p.column", "_p.value")
     counted = pairs.distinct().groupBy("column").agg(F.count("value").alias("n_unique"))
     return counted
@@ -272,8 +275,16 @@ def corpus_statistics(
         "period": "period_distribution",
         "language": "language_distribution",
     }
-    ranked = known.withColumn("_rank", F.row_number().over(order))
-    one = F.lit(1.0)
+    # Only the two limited lists are ranked, each with its limit as a filter right behind the window,
+    # so that every task keeps its own top rows before the shuffle (no dimension in one task whole).
+    ranked = reduce(
+        DataFrame.unionByName,
+        [known.where(~F.col("_dim").isin(*limits)).withColumn("_rank", F.lit(1))]
+        + [
+            known.where(F.col("_dim") == dim).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit)
+            for dim, limit in limits.items()
+        ],
+    )
     cells = F.when(
         F.col("_dim") == "total",
         F.array(
@@ -288,12 +299,14 @@ def corpus_statistics(
         listed = F.array(kept)
         if dim in limits:
             listed = F.when(F.col("_rank") <= limits[dim], listed).otherwise(F.filter(listed, lambda _: F.lit(False)))
-        if dim == "genre_clean":
-            listed = F.concat(listed, F.array(_cell("unique_genres", None, one)))
         cells = cells.when(F.col("_dim") == dim, listed)
+    # Every genre counts, not only the listed ones.
+    genres = known.where(F.col("_dim") == "genre_clean").agg(F.count(F.lit(1)).alias("_g"))
+    unique = genres.select(F.explode(F.array(_cell("unique_genres", None, F.col("_g")))).alias("_c")).select("_c.*")
     return (
         ranked.select(F.explode(cells).alias("_c"))
         .select("_c.*")
+        .unionByName(unique)
         .groupBy("metric", "key")
         .agg(F.sum("value").alias("value"))
     )
