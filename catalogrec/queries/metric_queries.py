@@ -184,7 +184,23 @@ QUERIES = {
     "retained_model": (_retained, "SELECT CASE WHEN count(*) > 0 THEN 'rule_b' END AS retained_model FROM events"),
     "title_verification": (_verification, _VERIFY_SQL),
     "summary_quality": (_summary_quality, None),
-    "embed_text": (_embed_text, None),
+    "embed_text": (
+        _embed_text,
+        r"""WITH terms AS (
+          SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}')) AS term FROM documents
+        ), counted AS (
+          SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 384 AS i, count(*)::DOUBLE AS tf FROM terms GROUP BY ALL
+        ), df AS (SELECT i, count(*) AS df FROM counted GROUP BY i),
+        weighted AS (
+          SELECT doc_id, i, tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) AS w FROM counted JOIN df USING (i)
+        ), sized AS (SELECT doc_id, sqrt(sum(w * w)) AS z FROM weighted GROUP BY doc_id),
+        cells AS (
+          SELECT d.doc_id, r.i, coalesce(w.w / nullif(s.z, 0), 0) AS v
+          FROM documents d CROSS JOIN range(384) r(i)
+          LEFT JOIN weighted w ON w.doc_id = d.doc_id AND w.i = r.i LEFT JOIN sized s ON s.doc_id = d.doc_id
+        )
+        SELECT doc_id, list(v::FLOAT ORDER BY i) AS embedding FROM cells GROUP BY doc_id""",
+    ),
     "embed_custom": (
         _embed_custom,
         """SELECT doc_id, CAST(CAST(length(text) AS FLOAT) AS DOUBLE) AS n_chars,

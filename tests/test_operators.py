@@ -444,3 +444,25 @@ def test_confusion_counts_rows_with_a_null_label(spark):
     assert sum(matrix.values()) == 4 and matrix[None, "a"] == 1 and matrix["a", None] == 1 and len(matrix) == 9
     report = {r.label: (r.tp, r.fp, r.fn) for r in metrics.one_vs_rest(metrics.confusion(rows)).collect()}
     assert report["a"] == (1, 2, 1) and report[None] == (0, 1, 1)
+
+
+def test_hashed_encoder_equals_a_plain_computation(spark):
+    import hashlib
+    import math
+    import re
+
+    texts = ["Ghost castle ghost", "a b", None, "Été été 12 x_y", "castle of ghosts"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    model = fit_encoder(df, "text", width=16)
+    got = {r.id: r.embedding for r in encode_text(model, df, "text").collect()}
+
+    def places(t):
+        return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 16 for w in re.findall(r"[^\W]{2,}", (t or "").lower())]
+
+    df_count = [sum(1 for t in texts if i in places(t)) for i in range(16)]
+    for key, t in enumerate(texts):
+        w = [places(t).count(i) * math.log(6 / (df_count[i] + 1)) for i in range(16)]
+        size = math.sqrt(sum(x * x for x in w))
+        want = [x / size if size else 0.0 for x in w]
+        assert np.allclose(got[key], want, atol=1e-6), t
+    assert got[1] == [0.0] * 16 and got[2] == [0.0] * 16
