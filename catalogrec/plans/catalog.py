@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import period_bucket, with_genre
@@ -41,9 +41,28 @@ def clean_columns(df: DataFrame, embedding_max_words: int = EMBEDDING_WORDS) ->
     )
 
 
-def clean_rows(merged: DataFrame, embedding_max_words: int = EMBEDDING_WORDS) -> DataFrame:
-    """De-duplicated, complete and cleaned rows of a merged table; all of the catalogue but keywords."""
-    return clean_columns(drop_incomplete(dedup_merge(merged)), embedding_max_words)
+def clean_rows(merged: DataFrame, embedding_max_words: int = EMBEDDING_WORDS, observed: list | None = None) -> DataFrame:
+    """De-duplicated, complete and cleaned rows of a merged table; all of the catalogue but keywords.
+
+    With ``observed`` (a list), three observations are added to it that count the rows entering,
+    leaving the merge of duplicates and leaving the drop of incomplete rows, while the rows are
+    computed: the counts come from the job that writes the rows, with no read of their own.
+    """
+    if observed is None:
+        return clean_columns(drop_incomplete(dedup_merge(merged)), embedding_max_words)
+    seen = [Observation("merged"), Observation("deduped"), Observation("complete")]
+    observed.extend(seen)
+    count = F.count(F.lit(1)).alias("n")
+    deduped = dedup_merge(merged.observe(seen[0], count)).observe(seen[1], count)
+    return clean_columns(drop_incomplete(deduped).observe(seen[2], count), embedding_max_words)
+
+
+def observed_steps(spark: SparkSession, observed: list) -> DataFrame:
+    """(step, rows_before, rows_after, rows_removed) from the observations of ``clean_rows``, once
+    the rows were computed."""
+    m, d, c = (int(o.get["n"]) for o in observed)
+    rows = [("dedup", m, d, m - d), ("drop_incomplete", d, c, d - c)]
+    return spark.createDataFrame(rows, "step string, rows_before long, rows_after long, rows_removed long")
 
 
 def leak_free_text(max_words: int = BENCHMARK_WORDS):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import dedup_merge
 from ..operators.keywords import keyword_weights
 from ..operators.statistics import corpus_statistics
-from ..plans.catalog import build_catalog_from, clean_rows, step_counts
+from ..plans.catalog import build_catalog_from, clean_rows, observed_steps
 from ..plans.recommend import already_read, exclude_read
 from ..session import scratch_path
 from ..sources.catalog_csv import (
@@ -147,7 +147,10 @@ def _dedup(spark, d):
 
 
 def _step_counts(spark, d):
-    return step_counts(merged(spark, d))
+    """The counts observed while the clean rows are computed, as the build computes them."""
+    observed = []
+    clean_rows(merged(spark, d), observed=observed).write.format("noop").mode("overwrite").save()
+    return observed_steps(spark, observed)
 
 
 def _keywords(spark, d):
