@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_rows, texts
 
-# Distinct pieces and rows of one recursive query, chunks whose ids a worker keeps between batches (speed only)
-# and characters encoded at a time.
+# Distinct pieces and rows of one recursive query, bytes of chunks and of merged pieces (text and ids) whose
+# ids a worker keeps between batches (speed only: an id never depends on what is kept), and characters
+# encoded at a time.
 QUERY_PIECES = 16_384
-KEPT_CHUNKS = 200_000
+KEPT_CHUNK_BYTES = 48 << 20
+KEPT_PIECE_BYTES = 32 << 20
 STEP_ROWS = 4_000_000
 BATCH_CHARS = 2_000_000
 
@@ -82,9 +84,14 @@ class Encoder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        # Ids of chunks, as text: those of late, and those of before, which come back when met again.
+        # Ids of chunks and of merged pieces, as text: those of late, and those of before, which come back
+        # when met again; a generation ends when its text and ids pass the byte bound.
         self.late: dict[str, str] = {}
         self.before: dict[str, str] = {}
+        self.late_bytes = 0
+        self.merged_late: dict[str, str] = {}
+        self.merged_before: dict[str, str] = {}
+        self.merged_bytes = 0
         pairs, merged = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -144,38 +151,54 @@ class Encoder:
         known, missing = {}, []
         for piece in wanted:
             rank = self.ranks.get(piece.encode())
-            if rank is None:
-                missing.append(piece)
-            else:
+            if rank is not None:
                 known[piece] = str(rank)
+            elif piece in self.merged_late:
+                known[piece] = self.merged_late[piece]
+            elif piece in self.merged_before:
+                known[piece] = self._keep_merged(piece, self.merged_before[piece])
+            else:
+                missing.append(piece)
         missing.sort(key=len)
         begin = size = 0
         for at, piece in enumerate(missing):
             size += len(piece)
             if at > begin and (at - begin >= QUERY_PIECES or size > 16 * QUERY_PIECES):
-                known.update(zip(missing[begin:at], self._merge(missing[begin:at]), strict=True))
+                for p, ids in zip(missing[begin:at], self._merge(missing[begin:at]), strict=True):
+                    known[p] = self._keep_merged(p, ids)
                 begin, size = at, len(piece)
         if missing:
-            known.update(zip(missing[begin:], self._merge(missing[begin:]), strict=True))
+            for p, ids in zip(missing[begin:], self._merge(missing[begin:]), strict=True):
+                known[p] = self._keep_merged(p, ids)
         return known
 
+    def _keep_merged(self, piece: str, ids: str) -> str:
+        """Keep the ids of a merged piece in the late generation; a full generation becomes the one before."""
+        if self.merged_bytes > KEPT_PIECE_BYTES:
+            self.merged_before, self.merged_late, self.merged_bytes = self.merged_late, {}, 0
+        self.merged_late[piece] = ids
+        self.merged_bytes += len(piece) + len(ids) + 100
+        return ids
+
     def _learn(self, chunks: set[str]) -> None:
-        """Take up the ids of chunks; beyond ``KEPT_CHUNKS`` those not met of late are forgotten."""
+        """Take up the ids of chunks; beyond ``KEPT_CHUNK_BYTES`` those not met of late are forgotten."""
         split, wanted = {}, set()
         for chunk in chunks:
             if chunk in self.before:
                 self.late[chunk] = self.before[chunk]
+                self.late_bytes += len(chunk) + len(self.before[chunk]) + 100
             else:
                 split[chunk] = parts = self.split(chunk)
                 wanted.update(parts)
         ids = self._pieces(wanted)
         for chunk, parts in split.items():
-            self.late[chunk] = ",".join([ids[p] for p in parts])
+            self.late[chunk] = coded = ",".join([ids[p] for p in parts])
+            self.late_bytes += len(chunk) + len(coded) + 100
 
     def encode(self, values: list[str]) -> list[str]:
         """Ids of each text as decimal numbers joined by commas."""
-        if len(self.late) > KEPT_CHUNKS:
-            self.before, self.late = self.late, {}
+        if self.late_bytes > KEPT_CHUNK_BYTES:
+            self.before, self.late, self.late_bytes = self.late, {}, 0
         chunked = []
         for value in values:
             if not value or _ODD_SPACE(value):

@@ -67,6 +67,25 @@ def test_token_counts_equal_the_library(spark):
     assert count_tokens(table.limit(0), path).count() == 0
 
 
+def test_bpe_keeps_and_forgets_pieces_across_batches(monkeypatch):
+    import tiktoken
+
+    import catalogrec.llm.bpe as module
+
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(module, "KEPT_CHUNK_BYTES", 300)
+    monkeypatch.setattr(module, "KEPT_PIECE_BYTES", 300)
+    encoder = module.Encoder(path, tokenizers.PATTERN)
+    values = [v or "" for v in sampled(120, seed=7)]
+    for start in range(0, len(values), 10):  # several batches: pieces come back, generations turn over
+        batch = values[start : start + 10] + values[:5]
+        got = encoder.encode(batch)
+        assert got == [",".join(map(str, library.encode_ordinary(v))) for v in batch]
+    assert encoder.merged_before or encoder.merged_late
+
+
 def test_transducer_forgets_and_goes_on(monkeypatch):
     import catalogrec.llm.transducer as module
 
