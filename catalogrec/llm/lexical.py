@@ -124,24 +124,21 @@ class ImpactTree:
 
 def _search(k: int):
     def run(postings: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"item_id": pd.Series(dtype="int64"), "row_key": pd.Series(dtype="int64"),
-                              "doc_id": pd.Series(dtype="Int64"), "score": pd.Series(dtype="int64")})
+        columns = ["item_id", "no_item", "row_key", "doc_id", "no_doc", "score"]
+        empty = pd.DataFrame({c: pd.Series(dtype="bool" if c.startswith("no_") else "int64") for c in columns})
         if postings.empty or items.empty:
             return empty
-        docs = postings[["row_key", "doc_id"]].drop_duplicates("row_key")
-        docs = docs.assign(missing=docs["doc_id"].isna()).sort_values(["missing", "doc_id", "row_key"])
+        docs = postings[["row_key", "doc_id", "no_doc"]].drop_duplicates("row_key")
+        docs = docs.sort_values(["no_doc", "doc_id", "row_key"])
         col = pd.Series(np.arange(len(docs)), index=docs["row_key"].to_numpy())
         cols = col.loc[postings["row_key"].to_numpy()].to_numpy()
         tree = ImpactTree(postings["term_id"].to_numpy(np.int64), cols, postings["impact"].to_numpy(np.int64), len(docs))
-        keys, ids = docs["row_key"].to_numpy(), docs["doc_id"].to_numpy()
+        keys, ids, no_doc = (docs[c].to_numpy() for c in ("row_key", "doc_id", "no_doc"))
         found = []
-        for item_id, wanted in zip(items["item_id"], items["term_ids"]):
+        for item_id, no_item, wanted in zip(items["item_id"], items["no_item"], items["term_ids"]):
             for c, score in tree.top(np.asarray(wanted, dtype=np.int64), k):
-                found.append((item_id, keys[c], ids[c], score))
-        if not found:
-            return empty
-        out = pd.DataFrame(found, columns=["item_id", "row_key", "doc_id", "score"])
-        return out.astype({"doc_id": "Int64"})
+                found.append((item_id, no_item, keys[c], ids[c], no_doc[c], score))
+        return pd.DataFrame(found, columns=columns) if found else empty
 
     return run
 
@@ -161,7 +158,9 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     asked = items.select(F.col(item_column).alias("item_id"), F.explode(F.array_distinct(terms(F.col(item_text)))).alias("term"))
     # Dense term ids (rows of the grid), numbered without moving the vocabulary into one task.
     distinct = asked.select("term").distinct()
+    # Written once: documents and items read the same numbers, in whatever order a shuffle hands the terms over.
     vocabulary = distinct.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1])).toDF("term string, term_id long")
+    vocabulary = cut(vocabulary, "search-terms")
     n_vocabulary = vocabulary.count()
     if n_docs == 0 or n_vocabulary == 0:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
@@ -178,8 +177,9 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     postings = tf.join(F.broadcast(df) if n_vocabulary <= BROADCAST_TERMS else df, "term_id").select(
         "row_key", "doc_id", "term_id", weight.alias("w"), "tf", m.alias("m")
     )
+    # A null id goes to pandas as 0 with a mark: one null would turn all ids of a group into floats.
     postings = postings.select(
-        "row_key", "doc_id", "term_id", (F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)")).alias("impact")
+        "row_key", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("no_doc"), "term_id", (F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)")).alias("impact")
     )
     shards = max(spark.sparkContext.defaultParallelism, math.ceil(n_postings / SHARD_POSTINGS))
     n_items = items.count()
@@ -188,9 +188,13 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_column: st
     postings = postings.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     wanted = asked.join(vocab, "term").groupBy("item_id").agg(F.collect_list("term_id").alias("term_ids"))
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
+    wanted = wanted.withColumn("no_item", F.isnull("item_id")).withColumn("item_id", F.coalesce("item_id", F.lit(0)))
     wanted = wanted.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     found = postings.groupBy("shard", "block").cogroup(wanted.groupBy("shard", "block")).applyInPandas(
-        _search(k), "item_id long, row_key long, doc_id long, score long"
+        _search(k), "item_id long, no_item boolean, row_key long, doc_id long, no_doc boolean, score long"
+    )
+    found = found.select(
+        F.when(~F.col("no_item"), F.col("item_id")).alias("item_id"), "row_key", F.when(~F.col("no_doc"), F.col("doc_id")).alias("doc_id"), "score"
     )
     order = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last(), "row_key")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

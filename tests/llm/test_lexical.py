@@ -47,3 +47,30 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert rank_documents(empty_docs, items).count() == 0
     assert rank_documents(spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_null_ids_beside_large_ones(spark, tmp_path):
+    big = 1 << 60
+    docs = [(big + i, f"cat w{i % 7}") for i in range(60)] + [(None, "cat dog")] * 3
+    items = [(big + 1, "cat w1"), (big + 2, "dog"), (None, "w3 w4")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = rank_documents(spark.read.parquet(str(tmp_path / "documents.parquet")), spark.read.parquet(str(tmp_path / "benchmark.parquet")))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{tmp_path / name}.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, con.execute(OP12_SQL).fetchall()))
+
+
+def test_items_that_come_in_another_order_at_each_read(spark):
+    def shuffled(batches):
+        import random
+
+        for batch in batches:
+            yield batch.take(random.SystemRandom().sample(range(len(batch)), len(batch)))
+
+    schema = "item_id long, text string"
+    items = spark.createDataFrame([(i, f"w{i}") for i in range(40)], schema).coalesce(1).mapInArrow(shuffled, schema)
+    docs = spark.createDataFrame([(i, f"w{i} other") for i in range(40)], "doc_id long, text string")
+    got = rank_documents(docs, items).collect()
+    assert sorted((r.item_id, r.doc_id) for r in got) == [(i, i) for i in range(40)]
