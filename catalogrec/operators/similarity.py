@@ -11,8 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import release, scratch_path
+
 # Bytes of vectors one side may have to be shipped to every executor.
 SMALL_SIDE_BYTES = 64 << 20
+# Bytes of vectors in a piece of a side where neither side is shipped.
+PIECE_BYTES = 64 << 20
 # Cells of one similarity block held in a task.
 _BLOCK_CELLS = 1 << 22
 # Partitions per core into which the larger side is gathered before it is scanned.
@@ -86,6 +90,18 @@ class _Excluded:
         cells = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
         return rows.astype(np.int64), self._places[cells].astype(np.int64)
 
+    def chunks(self, n: int, rows: int, cells: int) -> Iterator[tuple[int, int]]:
+        """(begin, count) of consecutive spans of the n left rows, of at most ``rows`` rows and, unless
+        it is a single row, at most ``cells`` excluded cells."""
+        cell_counts = self._starts[self._codes + 1] - self._starts[self._codes]
+        upto = np.concatenate([[0], np.cumsum(np.bincount(self._rows, weights=cell_counts, minlength=n))])
+        begin = 0
+        while begin < n:
+            fit = int(np.searchsorted(upto, upto[begin] + cells, side="right")) - 1
+            end = min(n, begin + rows, max(begin + 1, fit))
+            yield begin, end - begin
+            begin = end
+
     def mask(self, scores: np.ndarray, begin: int) -> None:
         low, high = np.searchsorted(self._rows, [begin, begin + len(scores)])
         first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
@@ -175,9 +191,8 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
     step = max(1, _BLOCK_CELLS // max(n_balls, k))
     unused = np.iinfo(np.int64).max
     found = []
-    for start in range(0, len(left), step):
-        q = left.unit[start : start + step]
-        m = len(q)
+    for start, m in excluded.chunks(len(left), step, _BLOCK_CELLS):
+        q = left.unit[start : start + m]
         bound = q @ index.centres.T + index.radii
         best_s, best_i = np.full((m, k), -np.inf), np.full((m, k), unused, dtype=np.int64)
         done = np.zeros((m, n_balls), dtype=bool)
@@ -188,6 +203,11 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
         position = np.full(m, -1, dtype=np.int64)
 
         def score(ball: int, rows: np.ndarray) -> None:
+            part = max(1, _BLOCK_CELLS // (len(index.members[ball]) + k))
+            for i in range(0, len(rows), part):
+                score_part(ball, rows[i : i + part])
+
+        def score_part(ball: int, rows: np.ndarray) -> None:
             members = index.members[ball]
             scores = np.round(q[rows] @ right.unit[members].T, SCORE_DECIMALS) + 0.0
             picked = by_ball[ex_starts[ball] : ex_starts[ball + 1]]
@@ -207,12 +227,14 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
         sizes = np.array([len(b) for b in index.members])
         left_over = (~done & (bound >= best_s[:, -1:] - _SLACK)) @ sizes
         if left_over.sum() > _DENSE_SHARE * m * len(right):
-            # Little is pruned (vectors without structure): one product beats a loop over balls.
-            scores = np.round(q @ right.unit.T, SCORE_DECIMALS) + 0.0
-            excluded.mask(scores, start)
-            index.scored += scores.size
-            rows, cols = _best(scores, k)
-            found.append((left.ids[rows + start], right.ids[cols], scores[rows, cols]))
+            # Little is pruned (vectors without structure): products of bounded size beat a loop over balls.
+            part = max(1, _BLOCK_CELLS // len(right))
+            for i in range(0, m, part):
+                scores = np.round(q[i : i + part] @ right.unit.T, SCORE_DECIMALS) + 0.0
+                excluded.mask(scores, start + i)
+                index.scored += scores.size
+                rows, cols = _best(scores, k)
+                found.append((left.ids[rows + start + i], right.ids[cols], scores[rows, cols]))
             continue
         for ball in np.argsort(-bound.max(axis=0), kind="stable"):
             rows = np.flatnonzero(~done[:, ball] & (bound[:, ball] >= best_s[:, -1] - _SLACK))
@@ -304,8 +326,8 @@ def nearest(
     * left side small: it is broadcast, each right partition emits its own top k per left row,
       and a ranking window merges those;
     * neither small: both sides are cut by hash into pieces of bounded size and every pair of
-      pieces meets in one group (fragment and replicate), followed by the same merge. Pieces are
-      cut by row id, so no group depends on the data's keys.
+      pieces meets in one group (fragment and replicate, in rounds of bounded shuffle), followed by
+      the same merge. Pieces are cut by row id, so no group depends on the data's keys.
     """
     lhs = _side(left, left_id, left_vec, left_keys)
     if not unique_left:
@@ -344,10 +366,7 @@ def nearest(
         scans = rhs.coalesce(_SCANS_PER_CORE * context.defaultParallelism)
         return _ranked(scans.mapInArrow(scan_right, _RESULT), k)
 
-    found = _fragment_and_replicate(
-        lhs, ceil(left_bytes / small_side_bytes), rhs, ceil(right_bytes / small_side_bytes), k
-    )
-    return _ranked(found, k)
+    return _fragment_and_replicate(lhs, left_bytes, rhs, right_bytes, k)
 
 
 def _keep_best(a, b, k: int):
@@ -359,23 +378,44 @@ def _keep_best(a, b, k: int):
     return left_ids[keep], right_ids[keep], scores[keep]
 
 
-def _fragment_and_replicate(
-    lhs: DataFrame, n_left: int, rhs: DataFrame, n_right: int, k: int
-) -> DataFrame:
-    """Top k of every pair of the ``n_left`` x ``n_right`` pieces of the two sides."""
+def _fragment_and_replicate(lhs: DataFrame, left_bytes: int, rhs: DataFrame, right_bytes: int, k: int) -> DataFrame:
+    """Top k of every left row over all pairs of pieces of the two sides.
+
+    Every left piece meets every right piece, so moving all pairs at once would write a side as often
+    as the other has pieces. Both sides are written once, and the left pieces are taken in rounds of
+    just enough pairs for all cores: a round moves the right side a few times and its own left
+    pieces, and its shuffle files are released before the next one.
+    """
+    spark = lhs.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    n_right = max(2, ceil(right_bytes / PIECE_BYTES))
+    per_round = ceil(cores / n_right)
+    n_left = max(2, per_round, ceil(left_bytes / PIECE_BYTES))
 
-    def pieces(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(other, every)
+    def stored(df: DataFrame, name: str, own: str, n_own: int) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, name)
+        df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).write.parquet(path)
+        return spark.read.parquet(path), path
 
-    grid_left = pieces(lhs, "lp", n_left, "rp", n_right).groupBy("lp", "rp")
-    grid_right = pieces(rhs, "rp", n_right, "lp", n_left).groupBy("lp", "rp")
+    left, left_path = stored(lhs, "nearest-left", "lp", n_left)
+    right, right_path = stored(rhs, "nearest-right", "rp", n_right)
+    every_right = F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))
 
     def meet(l: pa.Table, r: pa.Table) -> pa.Table:
-        left = VectorBlock(l)
-        return pa.Table.from_batches([_batch(_nearest_in_block(left, VectorBlock(r), k, left.distinct_keys()))])
-
-    return grid_left.cogroup(grid_right).applyInArrow(meet, _RESULT)
+        block = VectorBlock(l)
+        return pa.Table.from_batches([_batch(_nearest_in_block(block, VectorBlock(r), k, block.distinct_keys()))])
+
+    out = scratch_path(spark, "nearest")
+    for first in range(0, n_left, per_round):
+        last = min(first + per_round, n_left) - 1
+        grid_left = left.where(F.col("lp").between(first, last)).withColumn("rp", every_right).groupBy("lp", "rp")
+        grid_right = right.withColumn("lp", F.explode(F.sequence(F.lit(first), F.lit(last)))).groupBy("lp", "rp")
+        found = grid_left.cogroup(grid_right).applyInArrow(meet, _RESULT)
+        _ranked(found, k).write.mode("append").parquet(out)
+        del grid_left, grid_right, found
+        release(spark)
+    release(spark, left_path, right_path)
+    return spark.read.schema(_RESULT).parquet(out)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

@@ -108,7 +108,11 @@ def rank_books(
     question, so ranking by similarity is ranking by score, and it is added to winners only. A
     ``query_id`` on several rows is one question, the smallest row by its columns in order.
     """
-    questions = unique_rows(questions, "query_id")
+    spark = questions.sparkSession
+    needed = ["query_id", "embedding", "favorite_books", *LIKERT_COLUMNS]
+    # Read by the measuring, the search and the score: written once.
+    unique = unique_rows(questions, "query_id").select(*needed)
+    questions = materialize(spark, scratch_path(spark, "questions"), lambda: unique)
     asked = questions.withColumn("_fav", favourite_keys("favorite_books"))
     found = nearest(
         asked, vectors, k, "query_id", "book_id", left_keys="_fav", right_keys="read_keys", unique_left=True, **options

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -77,6 +78,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more, and the shuffle files of finished jobs.
+
+    Spark removes the files of a shuffle when the driver's garbage collector finds it unused.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Distribute an input that arrives in fewer partitions than there are cores.
 

@@ -194,6 +194,47 @@ def test_ball_index_is_exact_and_prunes_clustered_vectors(clustered):
     assert index.scored < 0.25 * grid if clustered else index.scored <= 1.1 * grid
 
 
+@pytest.mark.parametrize("clustered", [True, False])
+def test_blocks_of_scores_are_bounded(monkeypatch, clustered):
+    import pyarrow as pa
+
+    limit = 4000
+    monkeypatch.setattr(similarity, "_BLOCK_CELLS", limit)
+    seen = []
+    for name, place in (("_best", 0), ("_merge", 3)):
+        real = getattr(similarity, name)
+        monkeypatch.setattr(similarity, name, lambda *a, real=real, place=place: seen.append(a[place].size) or real(*a))
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=8)
+    right = {i: centre + 1e-3 * rng.normal(size=8) if clustered and i < 900 else rng.normal(size=8) for i in range(1000)}
+    left = {i: centre + 1e-3 * rng.normal(size=8) if clustered else rng.normal(size=8) for i in range(300)}
+    keys, carried = {i: ["hot"] if i % 2 else [f"q{i}"] for i in left}, {i: ["hot"] if i % 3 == 0 else None for i in right}
+    known = pa.array(["hot"])
+    spans = list(similarity._Excluded(_block(left, keys), _block(right, carried), known).chunks(len(left), 100, limit))
+    assert [b for b, _ in spans] == [sum(n for _, n in spans[:i]) for i in range(len(spans))] and sum(n for _, n in spans) == len(left)
+    assert max(n for _, n in spans) * 334 // 2 <= 2 * limit
+    li, ri, _ = similarity._nearest_in_block(_block(left, keys), _block(right, carried), 5, known)
+    got = {}
+    for a, b in zip(li.tolist(), ri.tolist()):
+        got.setdefault(a, []).append(b)
+    assert got == brute_nearest(left, right, 5, lambda a, b: a % 2 == 1 and b % 3 == 0)
+    assert max(seen) <= limit
+
+
+def test_pieces_meet_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "PIECE_BYTES", 300)
+    rounds = []
+    monkeypatch.setattr(similarity, "release", lambda s, *paths: rounds.append(paths))
+    rng = np.random.default_rng(6)
+    left, right = ({i: rng.normal(size=4) for i in range(a, a + 60)} for a in (0, 100))
+    frames = [spark.createDataFrame([(i, [float(x) for x in v]) for i, v in m.items()], "id long, embedding array<double>") for m in (left, right)]
+    got = {}
+    for r in similarity.nearest(*frames, 4, "id", "id", small_side_bytes=100).orderBy("left_id", "rank").collect():
+        got.setdefault(r.left_id, []).append(r.right_id)
+    assert got == brute_nearest(left, right, 4, lambda a, b: False)
+    assert len(rounds) > 2 and not any(rounds[:-1]) and len(rounds[-1]) == 2
+
+
 def test_nearest_with_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
     found = similarity.nearest(df, df, 5, "id", "id").collect()
