@@ -22,7 +22,7 @@ from ..functions.questionnaire import (
 from ..functions.vectors import axis_level, cosine, weighted_score
 from ..operators.encoder import encode_text, fit_encoder
 from ..operators.similarity import nearest, unique_rows
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.storage import materialize
 
 TOP_K = 5
@@ -81,13 +81,24 @@ def already_read(
     """(query_id, book_id) of the books each questionnaire already names.
 
     An equality join of title prefixes with favourite titles; no pair is tested that does not
-    match.
+    match. Favourites meet the distinct titles (a title's keys tell its readers), so the pairs of
+    books are never compared with each other: an id on several rows with other titles alone needs
+    that.
     """
     wanted = favourites.select(
         "query_id", F.explode(favourite_keys("favorite_books")).alias("_key")
-    )
-    offered = catalog.select(id_col, F.explode(read_keys(title)).alias("_key"))
-    return offered.join(wanted, "_key").select("query_id", id_col).distinct()
+    ).distinct()
+    offered = spread(catalog.select(id_col, F.array_sort(read_keys(title)).alias("_keys")), id_col)
+    keyed = offered.select("_keys").distinct().select("_keys", F.explode("_keys").alias("_key"))
+    # Dealt before they are counted once, so that no task holds more than its part of the pairs.
+    readers = keyed.join(wanted, "_key").select("_keys", "query_id").repartition("_keys", "query_id").distinct()
+    books = offered.groupBy(id_col).agg(F.min("_keys").alias("_keys"), F.max("_keys").alias("_last"))
+    alike = F.col("_keys") == F.col("_last")
+    single = books.where(alike).join(readers, "_keys").select("query_id", id_col)
+    mixed = books.where(~alike).select(F.col(id_col).alias("_mixed"))
+    rest = offered.join(mixed, F.col(id_col).eqNullSafe(F.col("_mixed")), "left_semi")
+    several = rest.join(readers, "_keys").select("query_id", id_col).distinct()
+    return single.unionByName(several)
 
 
 def exclude_read(catalog: DataFrame, favourites: str, title: str = "title") -> DataFrame:
