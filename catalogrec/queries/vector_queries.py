@@ -197,7 +197,8 @@ def _session(spark, d):
     valid, _ = split_valid(_preferences(spark, d))
     found = recommend(_preferences(spark, d), _catalog(spark, d), _book_vectors(spark, d), _lookup_encoder(spark, d))
     path = scratch_path(spark, "sessions")
-    write_json(session_results(valid, found.select(*_SHOWN)), path)
+    # A document repeats the display columns of its books: compressed, it costs a fraction of its text.
+    write_json(session_results(valid, found.select(*_SHOWN)), path, compression="gzip")
     schema = "query_id long, query_text string, recommendations array<struct<book_id: long>>"
     good, _ = read_json_history(spark, path, schema)
     return good.select(

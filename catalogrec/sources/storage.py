@@ -89,9 +89,9 @@ def materialize(
     return spark.read.parquet(path)
 
 
-def write_json(df: DataFrame, path: str, append: bool = False) -> None:
-    """JSON documents; replaces the target, or adds to a history."""
-    df.write.mode("append" if append else "overwrite").json(path)
+def write_json(df: DataFrame, path: str, append: bool = False, compression: str | None = None) -> None:
+    """JSON documents; replaces the target, or adds to a history. ``compression`` as Spark's JSON writer takes it."""
+    df.write.mode("append" if append else "overwrite").json(path, compression=compression)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
@@ -164,7 +164,8 @@ def read_json_history(spark: SparkSession, path: str, schema: StructType | str)
     present = lines.where(F.trim("value") != "")
     first = present.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_at")).alias("_first"))
     kinds = first.select("_file", F.col("_first").rlike(_OPENING).alias("_whole"))
-    marked = present.join(kinds, "_file")
+    # One row per file: shipped, so that no line of the history is shuffled.
+    marked = present.join(F.broadcast(kinds), "_file")
     by_line = marked.where(~F.col("_whole")).select(
         F.from_json("value", full, options).alias("r"), "_file", F.lit(None).cast("long").alias("position")
     ).select("r.*", "_file", "position")
