@@ -206,3 +206,31 @@ def test_history_of_lists_and_indented_documents(spark, tmp_path):
     good, corrupt = read_json_history(spark, str(tmp_path), "a long")
     assert sorted(r["a"] for r in good.collect()) == [1, 2, 3, 4, 5, 7]
     assert sorted(r[0] for r in corrupt.collect()) == ['[{"a": 6}, {"a":', "broken"]
+
+
+def test_already_read_compares_no_pairs_of_single_ids(spark):
+    from catalogrec.plans.recommend import already_read
+
+    titles = [(1, "Dune: Part (One)"), (1, "Dune: Part (One)"), (2, "Dune"), (2, "Emma - A Novel"), (None, "Emma"), (None, "Dune, again"), (3, None)]
+    books = spark.createDataFrame(titles, "book_id long, title string")
+    asked = spark.createDataFrame([(7, "dune, Dune: Part"), (7, "Emma"), (8, "emma"), (None, "DUNE")], "query_id long, favorite_books string")
+    got = already_read(books, asked)
+    want = {(7, 1), (None, 1), (7, 2), (8, 2), (None, 2), (7, None), (8, None), (None, None)}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("Union")
+
+
+def test_history_lines_are_not_shuffled(spark, tmp_path):
+    from catalogrec.sources.storage import read_json_history, write_json
+
+    path = str(tmp_path / "history")
+    write_json(spark.range(50).repartition(3), path, compression="gzip")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        good, bad = read_json_history(spark, path, "id long")
+        assert "SortMergeJoin" not in good._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in good.collect()) == list(range(50)) and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
