@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 384
+# Rows whose vectors a task holds at once.
+SLICE_ROWS = 1024
 
 
 TERM = r"[\p{L}\p{N}_]{2,}"
@@ -42,6 +44,12 @@ def fit_encoder(corpus: DataFrame, text_col: str = "text_full", width: int = WID
     return HashedEncoder([log((n + 1.0) / (df.get(i, 0) + 1.0)) for i in range(width)], width)
 
 
+def _slices(rows):
+    """A batch or frame in parts of at most ``SLICE_ROWS`` rows; one part if it is empty."""
+    cut = (lambda at: rows.slice(at, SLICE_ROWS)) if hasattr(rows, "slice") else (lambda at: rows.iloc[at : at + SLICE_ROWS])
+    return map(cut, range(0, max(1, len(rows)), SLICE_ROWS))
+
+
 def encode_text(model: HashedEncoder, df: DataFrame, text_col: str) -> DataFrame:
     """Add ``embedding ARRAY<FLOAT>`` using a fitted encoder, for corpus and queries alike.
 
@@ -55,20 +63,23 @@ def encode_text(model: HashedEncoder, df: DataFrame, text_col: str) -> DataFrame
     placed = df.withColumn("_places", term_indices(F.col(text_col), width))
     schema = f"{placed.schema.simpleString()[7:-1]},embedding:array<float>"
 
+    def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column("_places")
+        rows = len(column)
+        counts = np.zeros((rows, width))
+        if rows:
+            owners = np.repeat(np.arange(rows), np.diff(np.asarray(column.offsets)))
+            flat = np.asarray(column.flatten(), dtype=np.int64)
+            np.add.at(counts, (owners, flat), 1.0)
+        weights = counts * idf
+        size = np.sqrt((weights * weights).sum(axis=1))
+        unit = np.divide(weights, size[:, None], out=np.zeros_like(weights), where=size[:, None] > 0).astype(np.float32)
+        vectors = pa.FixedSizeListArray.from_arrays(pa.array(unit.ravel(), pa.float32()), width).cast(pa.list_(pa.float32()))
+        return pa.RecordBatch.from_arrays([*batch.columns, vectors], names=[*batch.schema.names, "embedding"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("_places")
-            rows = len(column)
-            counts = np.zeros((rows, width))
-            if rows:
-                owners = np.repeat(np.arange(rows), np.diff(np.asarray(column.offsets)))
-                flat = np.asarray(column.flatten(), dtype=np.int64)
-                np.add.at(counts, (owners, flat), 1.0)
-            weights = counts * idf
-            size = np.sqrt((weights * weights).sum(axis=1))
-            unit = np.divide(weights, size[:, None], out=np.zeros_like(weights), where=size[:, None] > 0).astype(np.float32)
-            vectors = pa.FixedSizeListArray.from_arrays(pa.array(unit.ravel(), pa.float32()), width).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, vectors], names=[*batch.schema.names, "embedding"])
+            yield from map(encoded, _slices(batch))
 
     return placed.mapInArrow(run, schema).drop("_places")
 
@@ -86,10 +97,11 @@ def encode_with(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = load()
         for frame in frames:
-            texts = frame[text_col].fillna("").tolist()
-            vectors = []
-            for start in range(0, len(texts), batch_size):
-                vectors.extend(encode(texts[start : start + batch_size]))
-            yield frame.assign(embedding=[[float(x) for x in v] for v in vectors])
+            for part in _slices(frame):
+                texts = part[text_col].fillna("").tolist()
+                vectors = []
+                for start in range(0, len(texts), batch_size):
+                    vectors.extend(encode(texts[start : start + batch_size]))
+                yield part.assign(embedding=[[float(x) for x in v] for v in vectors])
 
     return df.mapInPandas(run, schema)

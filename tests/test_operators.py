@@ -507,3 +507,21 @@ def test_hashed_encoder_equals_a_plain_computation(spark):
         want = [x / size if size else 0.0 for x in w]
         assert np.allclose(got[key], want, atol=1e-6), t
     assert got[1] == [0.0] * 16 and got[2] == [0.0] * 16
+
+
+def test_encoders_hold_the_vectors_of_a_slice(spark):
+    import pandas as pd
+    import pyarrow as pa
+
+    from catalogrec.operators import encoder
+
+    for rows in (pa.RecordBatch.from_pydict({"a": list(range(2500))}), pd.DataFrame({"a": range(2500)})):
+        assert [len(p) for p in encoder._slices(rows)] == [1024, 1024, 452]
+        assert [len(p) for p in encoder._slices(rows[:0])] == [0]
+    texts = spark.createDataFrame([(i, "a b " * (i % 5) + f"w{i % 3}x") for i in range(2500)], "id int, text string").coalesce(1)
+    model = encoder.fit_encoder(texts, "text", 16)
+    got = {r.id: r.embedding for r in encoder.encode_text(model, texts, "text").collect()}
+    one = {r.id: r.embedding for r in encoder.encode_text(model, texts.where("id >= 2400"), "text").collect()}
+    assert len(got) == 2500 and all(got[i] == v for i, v in one.items())
+    own = encoder.encode_with(texts, "text", lambda: lambda ts: [[float(len(t))] for t in ts])
+    assert all(r.embedding == [float(len(r.text))] for r in own.collect()) and own.count() == 2500
