@@ -27,6 +27,10 @@ LINES = 64
 MISSED = 1e-7
 BLOCK_ROWS = 4096
 _QUERIES = 128
+# Ranks between two marks on a line.
+_STRIDE = 16
+# Components a collided pair is bounded by before its whole product is taken.
+_HEAD = 15
 _SEED = 20_231_117
 
 
@@ -44,22 +48,70 @@ def _lines(width: int) -> np.ndarray:
     return np.random.default_rng(_SEED).standard_normal((width, LINES))
 
 
-def _collisions(queries: np.ndarray, order: np.ndarray, sorted_at: np.ndarray, half: float, out: np.ndarray) -> None:
-    """Count, for each query and each vector of a block, the lines on which they collide.
+def _marks(order: np.ndarray) -> np.ndarray:
+    """Bitmaps of the vectors whose rank on a line is below each multiple of ``_STRIDE``, as 64-bit words."""
+    lines, n = order.shape
+    edges = np.arange(0, n + _STRIDE, _STRIDE, dtype=np.uint16)
+    marks = np.zeros((lines, len(edges), -(-n // 64) * 8), np.uint8)
+    for line in range(lines):
+        bits = np.packbits(order[line][None, :] < edges[:, None], axis=1)
+        marks[line, :, : bits.shape[1]] = bits
+    return marks.view(np.uint64)
 
-    ``sorted_at`` holds the block's projections in ascending order per line and ``order`` the rank of each
-    vector. A window is a stretch of ranks; a rank is in it if it is less than the stretch's length
-    above its begin, in unsigned arithmetic.
+
+def _collisions(low: np.ndarray, high: np.ndarray, marks: np.ndarray) -> list[np.ndarray]:
+    """Collisions of each query with each vector of a block, as bit planes: plane ``k`` holds bit ``k`` of the counts.
+
+    ``low`` and ``high`` number the marks around the window of a query per line; the vectors between
+    two marks are the difference of their bitmaps. Three bitmaps of one weight add up to one of that
+    weight and one of the next, so 64 counts are added per instruction.
     """
-    out[:] = 0
-    shifted = np.empty(out.shape, np.uint16)
-    inside = np.empty(out.shape, np.uint8)
-    for line in range(queries.shape[1]):
-        low = np.searchsorted(sorted_at[line], queries[:, line] - half, "left").astype(np.uint16)
-        high = np.searchsorted(sorted_at[line], queries[:, line] + half, "right").astype(np.uint16)
-        np.subtract(order[line][None, :], low[:, None], out=shifted)
-        np.less(shifted, (high - low)[:, None], out=inside.view(bool))
-        np.add(out, inside, out=out)
+    levels: list[list[np.ndarray]] = [[]]
+
+    def add(bits: np.ndarray, level: int) -> None:
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(bits)
+        if len(levels[level]) == 3:
+            a, b, c = levels[level]
+            differ = a ^ b
+            levels[level] = [differ ^ c]
+            a &= b
+            differ &= c
+            a |= differ
+            add(a, level + 1)
+
+    for line, marked in enumerate(marks):
+        add(marked[high[line]] ^ marked[low[line]], 0)
+    for level, same in enumerate(levels):
+        if len(same) == 2:
+            a, b = same
+            levels[level] = [a ^ b]
+            add(a & b, level + 1)
+    return [same[0] for same in levels]
+
+
+def _reaching(planes: list[np.ndarray], count: int) -> np.ndarray:
+    """Bitmap of the counts that are at least ``count``."""
+    out = np.full_like(planes[0], np.iinfo(np.uint64).max)
+    for k in range(max(len(planes), count.bit_length())):
+        plane = planes[k] if k < len(planes) else np.zeros_like(out)
+        out = plane & out if count >> k & 1 else plane | out
+    return out
+
+
+def _set_bits(bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the bits set, as packed by ``np.packbits``; only bytes that are not zero are unpacked."""
+    octets = bitmap.view(np.uint8)
+    row, at = np.nonzero(octets)
+    which, bit = np.nonzero(np.unpackbits(octets[row, at][:, None], axis=1))
+    return row[which], at[which] * 8 + bit
+
+
+def _head(unit: np.ndarray) -> np.ndarray:
+    """The first components and the length of the rest: the product of two heads is at least that of the vectors."""
+    rest = np.linalg.norm(unit[:, _HEAD:], axis=1)
+    return np.ascontiguousarray(np.column_stack([unit[:, :_HEAD], rest]))
 
 
 class _Forest:
@@ -96,28 +148,35 @@ def _tile(threshold: float, width: int):
         x, y = np.stack(left["embedding"]), np.stack(right["embedding"])
         xs, ys = (v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None] for v in (x, y))
         rough_x, rough_y = xs.astype(np.float32), ys.astype(np.float32)
+        head_x, head_y = _head(rough_x), _head(rough_y)
         px, py = xs @ lines, ys @ lines
         places = np.argsort(py, axis=0, kind="stable")
         order = np.empty((LINES, len(y)), np.uint16)
         for line in range(LINES):
             order[line][places[:, line]] = np.arange(len(y))
-        sorted_at = np.ascontiguousarray(np.take_along_axis(py, places, axis=0).T)
+        # Windows are widened to the next marks, so that none loses a vector.
+        low, high = np.empty((LINES, len(x)), np.int64), np.empty((LINES, len(x)), np.int64)
+        for line in range(LINES):
+            sorted_at = py[places[:, line], line]
+            low[line] = np.searchsorted(sorted_at, px[:, line] - half, "left") // _STRIDE
+            high[line] = -(-np.searchsorted(sorted_at, px[:, line] + half, "right") // _STRIDE)
+        marks = _marks(order)
         xid, yid = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
         copies_x, copies_y = left["copies"].to_numpy(), right["copies"].to_numpy()
         links_x, links_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
         forest, edges = _Forest(len(x) + len(y)), []
-        counts = np.empty((_QUERIES, len(y)), np.uint8)
         for start in range(0, len(x), _QUERIES):
             rows = slice(start, min(start + _QUERIES, len(x)))
-            got = counts[: rows.stop - start]
-            _collisions(px[rows], order, sorted_at, half, got)
-            i, j = np.nonzero(got >= count)
+            reached = _reaching(_collisions(low[:, rows], high[:, rows], marks), count)
+            i, j = _set_bits(reached)
             i += start
             if first == second:
                 i, j = i[i < j], j[i < j]
             for part in range(0, len(i), 1 << 16):
                 a, b = i[part : part + (1 << 16)], j[part : part + (1 << 16)]
                 # Single precision only puts aside what is clearly below; the rest is decided in double.
+                near = np.einsum("ij,ij->i", head_x[a], head_y[b]) >= threshold - 1e-4
+                a, b = a[near], b[near]
                 near = np.einsum("ij,ij->i", rough_x[a], rough_y[b]) >= threshold - 1e-4
                 a, b = a[near], b[near]
                 near = np.einsum("ij,ij->i", xs[a], ys[b]) >= threshold

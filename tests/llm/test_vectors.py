@@ -88,6 +88,27 @@ def test_near_vectors_count_misses_less_than_one_in_ten_million():
     assert sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(count)) <= 1e-7
 
 
+def test_collisions_are_counted_in_bit_planes():
+    from catalogrec.llm.collisions import LINES, _STRIDE, _collisions, _head, _marks, _reaching, _set_bits
+
+    rng = np.random.default_rng(3)
+    n, asked = 333, 21  # no multiple of a word or of a stride
+    order = np.stack([rng.permutation(n) for _ in range(LINES)]).astype(np.uint16)
+    low = rng.integers(0, n // _STRIDE, (LINES, asked))
+    high = np.minimum(low + rng.integers(0, 15, (LINES, asked)), -(-n // _STRIDE))
+    inside = (order[:, None, :] >= low[:, :, None] * _STRIDE) & (order[:, None, :] < high[:, :, None] * _STRIDE)
+    marks = _marks(order)
+    assert marks.nbytes < order.nbytes * n // 64  # a bit per vector and mark
+    planes = _collisions(low, high, marks)
+    for count in (0, 1, 16, 23, 40, 64):
+        row, place = _set_bits(_reaching(planes, count))
+        got = {(i, j) for i, j in zip(row.tolist(), place.tolist(), strict=True) if j < n}
+        assert got == set(zip(*(x.tolist() for x in np.nonzero(inside.sum(axis=0) >= count)), strict=True))
+        assert count == 0 or (place < n).all()
+    x = rng.standard_normal((50, 40))
+    assert (_head(x) @ _head(x).T >= x @ x.T - 1e-9).all()
+
+
 def test_calibrated_count_misses_seldom():
     p = math.erf(math.sqrt(0.5))
     count = calibrated_count(64, p, 1e-6)
