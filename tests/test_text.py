@@ -133,3 +133,31 @@ def test_repair_of_text_damaged_several_times_and_terminal_codes(spark):
     more = spark.createDataFrame([("it&#8217;s caf&eacute; a&mdash;b &#x263A; &nope; AT&T",), ("<b>&eacute;</b>",), ("é",)], "t string")
     assert [r[0] for r in more.select(unescape_all_entities("t")).collect()] == ["it’s café a—b ☺ &nope; AT&T", "<b>&eacute;</b>", "é"]
     assert more.select(compose("t")).collect()[2][0] == "é"
+
+
+def test_repair_of_text_without_odd_characters_replaces_nothing(spark):
+    """Rounds stop at text without damage signs, and only odd text is translated or loses controls (no such branch
+    before: the plan holds the guards); results by hand, within Latin-1 and beyond."""
+    plan = spark.range(1).select(text.repair_text(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert text._BEYOND_LATIN in plan and text._MAYBE_CONTROL in plan
+    twice = "caf\u00c3\u0083\u00c2\u00a9"
+    cases = {
+        "caf\u00e9 \u4e2d": "caf\u00e9 \u4e2d",
+        twice: "caf\u00e9",
+        "\u4e2d " + twice: "\u4e2d " + twice,  # beyond Latin-1 beside it: no text read as Latin-1
+        "\u00e2\u20ac\u2122s": "'s",
+        "\u00c3\u00a9\u00c3": "\u00c3\u00a9\u00c3",  # cut short: no UTF-8
+        "a\x1b[31mb\x85c\u2028d\x7f\ufeffe\x0cf": "ab\nc\nde\x0cf",
+        "&eacute;&amp;": "&eacute;&",
+        None: None,
+    }
+    assert apply(spark, text.repair_text, list(cases)) == list(cases.values())
+
+
+def test_squeeze_knows_every_whitespace(spark):
+    import re
+
+    odd = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2005\u200a\u2028\u2029\u202f\u205f\u3000"
+    values = [f"{c}a{c}{c}b \u00e9{c}" for c in odd] + ["\u200ba \u200b", "  ", "", None, " a\t\n b "]
+    want = [None if v is None else re.sub(rf"[{odd}]+", " ", v).strip(" ") for v in values]
+    assert apply(spark, text.squeeze, values) == want
