@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from string import ascii_letters, digits
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..session import scratch_path
+from ..sources.storage import materialize
 
-TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+# ASCII letters and digits are listed too: a table lookup each, before the Unicode classes are asked.
+TOKEN_PATTERN = rf"[{ascii_letters}{digits}_\p{{L}}\p{{N}}]{{2,}}"
 MAX_TERMS = 5000
 
 
@@ -47,16 +52,16 @@ def term_counts(text: Column) -> Column:
 
 
 def document_terms(
-    df: DataFrame, id_col: str, text_col: str, stop_words: list[str] | None = None
+    df: DataFrame, id_col: str, text_col: str, stop_words: list[str] | None = None, nested: bool = False
 ) -> DataFrame:
-    """(id, term, tf) of every non-blank document, stop words removed; no shuffle."""
+    """(id, term, tf) of every non-blank document, stop words removed; no shuffle.
+
+    ``nested``: one row (id, _terms) per document instead, with its (term, tf) as an array.
+    """
     stop = stop_words if stop_words is not None else default_stop_words()
-    return (
-        df.where(~is_blank(text_col))
-        .select(F.col(id_col), F.explode(term_counts(F.col(text_col))).alias("_t"))
-        .select(id_col, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"))
-        .where(~F.col("term").isin(stop))
-    )
+    found = F.filter(term_counts(F.col(text_col)), lambda t: ~t["term"].isin(stop))
+    rows = df.where(~is_blank(text_col)).select(F.col(id_col), found.alias("_terms"))
+    return rows if nested else rows.select(id_col, F.inline("_terms"))
 
 
 def vocabulary(
@@ -88,9 +93,13 @@ def keyword_weights(
 
     The vocabulary holds at most ``max_terms`` rows, which bounds its broadcast. All terms of a
     document sit in one input partition, so the ranking window drops everything beyond
-    ``top_n`` before its shuffle.
+    ``top_n`` before its shuffle. Vocabulary and weights both read the terms, which are found once
+    and written.
     """
-    terms = document_terms(df, id_col, text_col, stop_words)
+    spark = df.sparkSession
+    terms = materialize(
+        spark, scratch_path(spark, "terms"), lambda: document_terms(df, id_col, text_col, stop_words, nested=True)
+    ).select(id_col, F.inline("_terms"))
     vocab = vocabulary(terms, df, text_col, max_terms).select("term", "idf")
     weighted = terms.join(F.broadcast(vocab), "term").select(
         id_col, "term", F.round(F.col("tf") * F.col("idf"), 6).alias("weight")

@@ -33,7 +33,7 @@ def raw_source_1(spark, d):
     """Parts as a catalogue without authors: 384 titles, so most rows are copies of a title."""
     stars = F.when(F.col("p_size") % 9 == 0, F.lit("n/a")).otherwise((F.col("p_size") / 10).cast("string"))
     description = F.concat_ws(" ", "p_name", "p_brand", F.when(F.col("p_size") > 25, F.concat(F.lit("by "), F.col("p_type"))))
-    return table(spark, d, "part").select(
+    return texts(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select(
         "p_partkey",
         F.concat_ws(" ", F.initcap("p_name"), "p_type").alias("Title"),
         F.when(F.col("p_partkey") % 23 != 0, description).alias("Book_Description"),

@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -91,15 +92,24 @@ def release(spark: SparkSession, *paths: str) -> None:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute an input that arrives in fewer partitions than there are cores.
+    """Distribute an input whose rows arrive in fewer partitions than there are cores.
 
     Files that cannot be split (quoted CSV with line breaks, one Parquet row group) would leave
-    the cluster idle behind a few tasks. Splittable inputs already have more partitions than
-    cores and pass through unchanged, without a shuffle. So does an input whose plan holds an
-    exchange: its partitions are known only after running it.
+    the cluster idle behind a few tasks. A file is cut by bytes, so it may have as many partitions
+    as there are cores and all rows in one of them (a row group belongs to one): the rows of each are
+    counted, which reads no column. Evenly filled inputs pass through unchanged, without a shuffle.
+    So does an input whose plan holds an exchange: its partitions are known only after running it.
     """
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if _EXCHANGING.search(plan):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    parts = df.rdd.getNumPartitions()
+    return df.repartition(max(parts, cores), key) if parts < cores or _crowded(df, cores) else df
+
+
+def _crowded(df: DataFrame, cores: int) -> bool:
+    """True if one partition holds more than twice the rows a core should get."""
+    filled = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = filled.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) * cores > 2 * (total or 0)

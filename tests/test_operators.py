@@ -525,3 +525,36 @@ def test_encoders_hold_the_vectors_of_a_slice(spark):
     assert len(got) == 2500 and all(got[i] == v for i, v in one.items())
     own = encoder.encode_with(texts, "text", lambda: lambda ts: [[float(len(t))] for t in ts])
     assert all(r.embedding == [float(len(r.text))] for r in own.collect()) and own.count() == 2500
+
+
+def test_spread_deals_rows_that_lie_in_one_row_group(spark, tmp_path):
+    from catalogrec.session import spread
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 3_000_000, 1, 1).selectExpr("id", "sha2(cast(id as string), 256) as s").write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    # Cut by bytes into many partitions, but the rows lie in the few that hold the middle of a row group.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= cores
+        dealt = spread(df, "id")
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 3_000_000 and max(sizes) * cores <= 2 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    even = spark.range(0, 100, 1, cores)
+    assert spread(even, "id") is even
+    assert spread(spark.range(0), "id").count() == 0
+
+
+def test_keywords_find_the_terms_once(spark):
+    from catalogrec.operators.keywords import document_terms, keyword_weights
+
+    rows = [(1, "red red bolt the"), (2, "Red nut_7 \u00e9t\u00e9"), (2, "nut_7 nut_7"), (None, "bolt"), (4, " "), (5, None), (6, "a the")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = sorted((r[0] or 0, r[1], r[2]) for r in document_terms(df, "id", "t", ["the"]).collect())
+    assert got == [(0, "bolt", 1), (1, "bolt", 1), (1, "red", 2), (2, "nut_7", 1), (2, "nut_7", 2), (2, "red", 1), (2, "\u00e9t\u00e9", 1)]
+    plan = keyword_weights(df, "id", "t", stop_words=["the"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # counted in neither reader of the terms
