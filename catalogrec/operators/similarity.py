@@ -16,9 +16,11 @@ from ..session import release, scratch_path
 # Bytes of vectors one side may have to be shipped to every executor.
 SMALL_SIDE_BYTES = 64 << 20
 # Bytes of vectors in a piece of a side where neither side is shipped.
-PIECE_BYTES = 64 << 20
+PIECE_BYTES = 32 << 20
+# Rows of a left piece whose unit vectors a task holds at once.
+_SLICE_ROWS = 1 << 13
 # Cells of one similarity block held in a task.
-_BLOCK_CELLS = 1 << 22
+_BLOCK_CELLS = 1 << 20
 # Partitions per core into which the larger side is gathered before it is scanned.
 _SCANS_PER_CORE = 4
 # Scores equal to this many decimals are ties and resolve by id.
@@ -31,11 +33,11 @@ class VectorBlock:
     def __init__(self, table: pa.Table | pa.RecordBatch):
         self.ids = np.asarray(table.column("id"), dtype=np.int64)
         rows = _combined(table.column("vec"))
-        flat = np.asarray(rows.flatten(), dtype=np.float64)
-        unit = flat.reshape(len(self.ids), -1) if len(self.ids) else flat.reshape(0, 1)
-        size = np.sqrt(np.einsum("ij,ij->i", unit, unit))
+        flat = np.array(rows.flatten(), dtype=np.float64)
+        self.unit = flat.reshape(len(self.ids), -1) if len(self.ids) else flat.reshape(0, 1)
+        size = np.sqrt(np.einsum("ij,ij->i", self.unit, self.unit))
         size[size == 0] = 1.0
-        self.unit = unit / size[:, None]
+        self.unit /= size[:, None]
         self.keys = _combined(table.column("keys"))
 
     def __len__(self) -> int:
@@ -71,24 +73,35 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Excluded:
-    """Cells of a similarity block that share a key, found span by span without a loop over keys."""
+    """Cells of a similarity block that share a key; the cells asked for are looked up, none is listed."""
 
     def __init__(self, left: VectorBlock, right: VectorBlock, known: pa.Array):
         self._rows, self._codes = left.coded_keys(known)
         places, codes = right.coded_keys(known)
-        order = np.argsort(codes, kind="stable")
-        self._places = places[order]
-        self._starts = np.searchsorted(codes[order], np.arange(len(known) + 1))
-
-    def pairs(self, begin: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row - begin, right place) of the excluded cells of rows begin .. begin+count-1."""
-        low, high = np.searchsorted(self._rows, [begin, begin + count])
-        first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
-        counts = last - first
-        total = int(counts.sum())
-        rows = np.repeat(self._rows[low:high] - begin, counts)
-        cells = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
-        return rows.astype(np.int64), self._places[cells].astype(np.int64)
+        self._width = max(1, len(right))
+        self._cells = np.unique(codes * self._width + places)
+        self._starts = np.searchsorted(codes[np.argsort(codes, kind="stable")], np.arange(len(known) + 1))
+        self._of_row = np.searchsorted(self._rows, np.arange(len(left) + 1))
+
+    def among(self, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """True for the (left row, right place) cells that share a key."""
+        out = np.zeros(len(rows), dtype=bool)
+        if not len(self._cells):
+            return out
+        counts = self._of_row[rows + 1] - self._of_row[rows]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        begin = 0
+        while begin < len(rows):
+            fit = int(np.searchsorted(upto, upto[begin] + _BLOCK_CELLS, side="right")) - 1
+            end = max(begin + 1, fit)
+            n = counts[begin:end]
+            at = np.repeat(np.arange(begin, end), n)
+            codes = self._codes[np.arange(len(at)) + np.repeat(self._of_row[rows[begin:end]] - (upto[begin:end] - upto[begin]), n)]
+            cells = codes * self._width + places[at]
+            found = np.minimum(np.searchsorted(self._cells, cells), len(self._cells) - 1)
+            out[at[self._cells[found] == cells]] = True
+            begin = end
+        return out
 
     def chunks(self, n: int, rows: int, cells: int) -> Iterator[tuple[int, int]]:
         """(begin, count) of consecutive spans of the n left rows, of at most ``rows`` rows and, unless
@@ -102,16 +115,6 @@ class _Excluded:
             yield begin, end - begin
             begin = end
 
-    def mask(self, scores: np.ndarray, begin: int) -> None:
-        low, high = np.searchsorted(self._rows, [begin, begin + len(scores)])
-        first, last = self._starts[self._codes[low:high]], self._starts[self._codes[low:high] + 1]
-        counts = last - first
-        total = counts.sum()
-        if total:
-            rows = np.repeat(self._rows[low:high] - begin, counts)
-            cells = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
-            scores[rows, self._places[cells]] = -np.inf
-
 
 # Rows per ball of the right side's index, and rounds of the clustering that forms the balls.
 BALL_ROWS = 128
@@ -151,10 +154,9 @@ class BallIndex:
         self.centres = np.stack([x[m].mean(axis=0) for m in self.members]) if n else np.zeros((0, x.shape[1]))
         self.radii = np.array([np.sqrt(((x[m] - c) ** 2).sum(axis=1)).max() for m, c in zip(self.members, self.centres)])
         self.ball_of = np.empty(n, dtype=np.int64)
-        self.place_in_ball = np.empty(n, dtype=np.int64)
         for b, m in enumerate(self.members):
             self.ball_of[m] = b
-            self.place_in_ball[m] = np.arange(len(m))
+        self.narrow = x.astype(np.float32)
         self.scored = 0
 
     @staticmethod
@@ -164,12 +166,25 @@ class BallIndex:
 
 
 def _merge(best_s, best_i, rows, scores, ids, k):
-    """Fold new (scores, ids) of some rows into their k best; ties go to the lower id."""
-    s = np.concatenate([best_s[rows], scores], axis=1)
-    i = np.concatenate([best_i[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-    order = np.lexsort((i, -s), axis=1)[:, :k]
-    best_s[rows] = np.take_along_axis(s, order, axis=1)
-    best_i[rows] = np.take_along_axis(i, order, axis=1)
+    """Fold new (row, score, id) cells into the k best of their rows; ties go to the lower id."""
+    own = np.unique(rows)
+    r = np.concatenate([np.repeat(own, k), rows])
+    s = np.concatenate([best_s[own].ravel(), scores])
+    i = np.concatenate([best_i[own].ravel(), ids])
+    order = np.lexsort((i, -s, r))
+    r = r[order]
+    order = order[np.arange(len(r)) - np.searchsorted(r, r) < k]
+    best_s[own], best_i[own] = s[order].reshape(-1, k), i[order].reshape(-1, k)
+
+
+def _exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Rounded products of single cells of a block, in double precision."""
+    if 16 * len(rows) > len(q) * len(x):
+        return np.round((q @ x.T)[rows, cols], SCORE_DECIMALS) + 0.0
+    part = max(1, _BLOCK_CELLS // q.shape[1])
+    spans = [slice(i, i + part) for i in range(0, len(rows), part)]
+    found = [np.einsum("ij,ij->i", q[rows[at]], x[cols[at]]) for at in spans]
+    return np.round(np.concatenate([np.empty(0), *found]), SCORE_DECIMALS) + 0.0
 
 
 def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.Array, index: BallIndex | None = None):
@@ -190,17 +205,20 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
     n_balls = len(index.members)
     step = max(1, _BLOCK_CELLS // max(n_balls, k))
     unused = np.iinfo(np.int64).max
+    # Products of unit vectors in single precision are off by less than half of this.
+    loose = _SLACK + (left.unit.shape[1] + 8) * 2.0**-23
+    sizes = np.array([len(b) for b in index.members])
     found = []
     for start, m in excluded.chunks(len(left), step, _BLOCK_CELLS):
         q = left.unit[start : start + m]
         bound = q @ index.centres.T + index.radii
         best_s, best_i = np.full((m, k), -np.inf), np.full((m, k), unused, dtype=np.int64)
         done = np.zeros((m, n_balls), dtype=bool)
-        ex_rows, ex_places = excluded.pairs(start, m)
-        ex_balls = index.ball_of[ex_places]
-        by_ball = np.argsort(ex_balls, kind="stable")
-        ex_starts = np.searchsorted(ex_balls[by_ball], np.arange(n_balls + 1))
-        position = np.full(m, -1, dtype=np.int64)
+
+        def better(rows: np.ndarray, places: np.ndarray, scores: np.ndarray) -> np.ndarray:
+            """Cells that enter the k best of their rows: a better score, or an equal one with a lower id."""
+            last = best_s[rows, -1]
+            return (scores > last) | ((scores == last) & (right.ids[places] < best_i[rows, -1]))
 
         def score(ball: int, rows: np.ndarray) -> None:
             part = max(1, _BLOCK_CELLS // (len(index.members[ball]) + k))
@@ -210,36 +228,43 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
         def score_part(ball: int, rows: np.ndarray) -> None:
             members = index.members[ball]
             scores = np.round(q[rows] @ right.unit[members].T, SCORE_DECIMALS) + 0.0
-            picked = by_ball[ex_starts[ball] : ex_starts[ball + 1]]
-            if len(picked):
-                position[rows] = np.arange(len(rows))
-                at = position[ex_rows[picked]]
-                hit = at >= 0
-                scores[at[hit], index.place_in_ball[ex_places[picked][hit]]] = -np.inf
-                position[rows] = -1
             index.scored += scores.size
             done[rows, ball] = True
-            _merge(best_s, best_i, rows, scores, right.ids[members], k)
+            at, cols = np.nonzero(scores >= best_s[rows, -1:])
+            new = better(rows[at], members[cols], scores[at, cols])
+            new[new] = ~excluded.among(start + rows[at[new]], members[cols[new]])
+            kept = np.full(scores.shape, -np.inf)
+            kept[at[new], cols[new]] = scores[at[new], cols[new]]
+            at, cols = _best(kept, k)
+            _merge(best_s, best_i, rows[at], kept[at, cols], right.ids[members[cols]], k)
 
         first = np.argmax(bound, axis=1)
         for ball in np.unique(first):
             score(ball, np.flatnonzero(first == ball))
-        sizes = np.array([len(b) for b in index.members])
-        left_over = (~done & (bound >= best_s[:, -1:] - _SLACK)) @ sizes
+        # A bound that is no number (a broken vector in the ball) keeps nothing out.
+        left_over = (~done & ~(bound < best_s[:, -1:] - _SLACK)) @ sizes
         if left_over.sum() > _DENSE_SHARE * m * len(right):
-            # Little is pruned (vectors without structure): products of bounded size beat a loop over balls.
-            part = max(1, _BLOCK_CELLS // len(right))
-            for i in range(0, m, part):
-                scores = np.round(q[i : i + part] @ right.unit.T, SCORE_DECIMALS) + 0.0
-                excluded.mask(scores, start + i)
-                index.scored += scores.size
-                rows, cols = _best(scores, k)
-                found.append((left.ids[rows + start + i], right.ids[cols], scores[rows, cols]))
-            continue
-        for ball in np.argsort(-bound.max(axis=0), kind="stable"):
-            rows = np.flatnonzero(~done[:, ball] & (bound[:, ball] >= best_s[:, -1] - _SLACK))
-            if len(rows):
-                score(ball, rows)
+            # Little is pruned (vectors without structure): products in single precision tell, with room
+            # for their error, the few cells that can enter the k best, and only those are scored exactly.
+            narrow = q.astype(np.float32)
+            part = max(1, _BLOCK_CELLS // m)
+            for i in range(0, len(right), part):
+                floor = (best_s[:, -1:] - loose).astype(np.float32)
+                near = narrow @ index.narrow[i : i + part].T >= floor
+                index.scored += near.size
+                rows, cols = np.divmod(np.flatnonzero(near), near.shape[1])  # one dimension is searched faster than two
+                new = ~done[rows, index.ball_of[i + cols]]
+                rows, cols = rows[new], cols[new]
+                scores = _exact(q, right.unit[i : i + part], rows, cols)
+                new = better(rows, i + cols, scores)
+                new[new] = ~excluded.among(start + rows[new], i + cols[new])
+                if new.any():
+                    _merge(best_s, best_i, rows[new], scores[new], right.ids[i + cols[new]], k)
+        else:
+            for ball in np.argsort(-bound.max(axis=0), kind="stable"):
+                rows = np.flatnonzero(~done[:, ball] & ~(bound[:, ball] < best_s[:, -1] - _SLACK))
+                if len(rows):
+                    score(ball, rows)
         rows, cols = np.nonzero(np.isfinite(best_s))
         found.append((left.ids[rows + start], best_i[rows, cols], best_s[rows, cols]))
     return tuple(np.concatenate(part) for part in zip(*found))
@@ -402,8 +427,7 @@ def _fragment_and_replicate(lhs: DataFrame, left_bytes: int, rhs: DataFrame, rig
     every_right = F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))
 
     def meet(l: pa.Table, r: pa.Table) -> pa.Table:
-        block = VectorBlock(l)
-        return pa.Table.from_batches([_batch(_nearest_in_block(block, VectorBlock(r), k, block.distinct_keys()))])
+        return _meet(l, r, k)
 
     out = scratch_path(spark, "nearest")
     for first in range(0, n_left, per_round):
@@ -418,6 +442,18 @@ def _fragment_and_replicate(lhs: DataFrame, left_bytes: int, rhs: DataFrame, rig
     return spark.read.schema(_RESULT).parquet(out)
 
 
+def _meet(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """The k best right rows of each left row; of the left side one slice at a time becomes unit vectors."""
+    block = VectorBlock(right)
+    block = _take(block, np.argsort(block.ids, kind="stable"))
+    index = BallIndex(block)
+    found = []
+    for at in range(0, max(1, len(left)), _SLICE_ROWS):
+        asked = VectorBlock(left.slice(at, _SLICE_ROWS))
+        found.append(_batch(_nearest_in_block(asked, block, k, asked.distinct_keys(), index)))
+    return pa.Table.from_batches(found)
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("left_id").orderBy(F.desc("similarity"), "right_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -221,6 +221,30 @@ def test_blocks_of_scores_are_bounded(monkeypatch, clustered):
     assert max(seen) <= limit
 
 
+def test_block_search_holds_few_cells_of_a_hot_key():
+    """Neither the pairs excluded by one shared key nor the scores of a block are listed in whole."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    right = {i: rng.normal(size=8) for i in range(12_000)}
+    left = {i: rng.normal(size=8) for i in range(1_500)}
+    left[3] = np.zeros(8)
+    hot, carried = {i: ["hot"] if i % 2 else ["cold"] for i in left}, {i: ["hot"] if i % 3 else ["rare"] for i in right}
+    lhs, rhs = _block(left, hot), _block(right, carried)
+    tracemalloc.start()
+    li, ri, _ = similarity._nearest_in_block(lhs, rhs, 5, pa.array(["hot", "cold"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    got = {}
+    for a, b in zip(li.tolist(), ri.tolist()):
+        got.setdefault(a, []).append(b)
+    some = {i: left[i] for i in (0, 1, 2, 3, 777)}
+    assert {i: got[i] for i in some} == brute_nearest(some, right, 5, lambda a, b: a % 2 == 1 and b % 3 != 0)
+
+
 def test_pieces_meet_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(similarity, "PIECE_BYTES", 300)
     rounds = []
