@@ -6,7 +6,8 @@ neighbouring positions with the merge table (left token, right token, merged tok
 piece's lowest merged rank, contracts its leftmost occurrence and those further right that do not
 overlap it, and goes on with the pieces that changed until none has a pair left. Equal pairs may be
 contracted together because a merge of rank ``r`` only makes tokens that take part in merges of other
-ranks; the leftmost of overlapping pairs wins, as in the sequential rule. Decoding joins the ids with
+ranks; the leftmost of overlapping pairs wins, as in the sequential rule. Short pieces, which seldom
+hold a pair twice, have one pair contracted in a step, which needs no runs of hits. Decoding joins the ids with
 the token table and gathers the bytes in order of position.
 """
 
@@ -29,6 +30,8 @@ QUERY_PIECES = 16_384
 KEPT_CHUNK_BYTES = 48 << 20
 KEPT_PIECE_BYTES = 32 << 20
 STEP_ROWS = 4_000_000
+# Pieces of at most so many bytes have one pair contracted in a step.
+SHORT_BYTES = 32
 BATCH_CHARS = 2_000_000
 
 _MERGE = """
@@ -58,11 +61,38 @@ with recursive steps(round, piece, pos, follows, token) as (
     select s.round + 1 as round, s.piece, s.pos, coalesce(c.follows, s.follows) as follows, coalesce(c.merged, s.token) as token
     from going s left join chosen c on s.pos = c.pos anti join chosen e on s.pos = e.eaten
   )
-), ends as (
+)
+"""
+
+_MERGE_SHORT = """
+with recursive steps(round, piece, pos, follows, token) as (
+  select 0, piece, pos, follows, token from start
+  union all
+  select round, piece, pos, follows, token from (
+    with pairs as (
+      -- Lowest rank first, then the leftmost: both in one number.
+      select a.piece, m.merged * 4294967296::bigint + a.pos as place, b.pos as eaten, b.follows
+      from steps a
+      join steps b on b.pos = a.follows
+      join merges m on m.pair = a.token * 65536::bigint + b.token
+      where a.round < $rounds
+    ), chosen as (
+      select piece, min(place) % 4294967296 as pos, (min(place) // 4294967296)::int as merged,
+        arg_min(eaten, place) as eaten, arg_min(follows, place) as follows
+      from pairs group by piece
+    )
+    select s.round + 1 as round, s.piece, s.pos,
+      case when s.pos = c.pos then c.follows else s.follows end as follows,
+      case when s.pos = c.pos then c.merged else s.token end as token
+    from steps s join chosen c on s.piece = c.piece where s.pos <> c.eaten
+  )
+)
+"""
+
+_ENDS = """, ends as (
   select piece, max(round) as round from steps group by piece
 )
-select piece, round, string_agg(token, ',' order by pos) as ids
-from steps join ends using (piece, round) group by piece, round order by piece
+select piece, round, pos, token from steps join ends using (piece, round)
 """
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -71,7 +101,12 @@ _encoders: dict[tuple[str, str], Encoder] = {}
 
 # Pieces cannot cross a lone space or line feed between other signs, so such a text falls into chunks
 # that are encoded alike wherever they stand. Any other white space: the text is split as a whole.
-_ODD_SPACE = regex.compile(r"^\s|\s$|\s\s|[^\S \n]").search
+def _words(value: str) -> list[str] | None:
+    """The words of a text between lone spaces and line feeds, those behind a line feed with it in front;
+    None if the text is empty or holds any other white space."""
+    if not value or " ".join(value.split()) != value.replace("\n", " "):
+        return None
+    return value.replace("\n", " \n").split(" ")
 
 
 class Encoder:
@@ -116,36 +151,53 @@ class Encoder:
         pieces that need more (words of hundreds of letters) go on from where they are.
         """
         done = [""] * len(pieces)
-        tokens = [self.byte_ids[np.frombuffer(p.encode(), np.uint8)] for p in pieces]
-        left = list(range(len(pieces)))
-        while left:
-            lengths = np.fromiter((len(tokens[i]) for i in left), np.int64, len(left))
-            ends = np.cumsum(lengths)
-            total = int(ends[-1])
-            follows = np.arange(1, total + 1, dtype=np.int32)
-            follows[ends - 1] = -1
-            start = pa.table(
-                {
-                    "piece": np.repeat(np.arange(len(left), dtype=np.int32), lengths),
-                    "pos": np.arange(total, dtype=np.int32),
-                    "follows": follows,
-                    "token": np.concatenate([tokens[i] for i in left]),
-                }
-            )
-            rounds = max(8, STEP_ROWS // total)
-            self.db.register("start", start)
-            found = self.db.sql(_MERGE.replace("$rounds", str(rounds))).to_arrow_table()
-            self.db.unregister("start")
-            again = []
-            for i, at, ids in zip(left, found["round"].to_pylist(), found["ids"].to_pylist(), strict=True):
-                if at < rounds:
-                    done[i] = ids
-                else:
-                    tokens[i] = np.array(ids.split(","), np.int32)
-                    again.append(i)
-            left = again
+        coded = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        tokens = self.byte_ids[np.frombuffer(b"".join(coded), np.uint8)]
+        short = lengths <= SHORT_BYTES
+        for query, of in ((_MERGE_SHORT, short), (_MERGE, ~short)):
+            left, sizes, given = np.flatnonzero(of).tolist(), lengths[of], tokens[np.repeat(of, lengths)]
+            while left:
+                left, sizes, given = self._steps(query, left, sizes, given, done)
         return done
 
+    def _steps(
+        self, query: str, left: list[int], lengths: np.ndarray, tokens: np.ndarray, done: list[str]
+    ) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Merge the pieces ``left``, whose tokens lie behind each other, as far as one query goes.
+
+        Returns the pieces that are not done, the number of tokens of each, and these tokens.
+        """
+        ends = np.cumsum(lengths)
+        total = int(ends[-1])
+        follows = np.arange(1, total + 1, dtype=np.int32)
+        follows[ends - 1] = -1
+        start = pa.table(
+            {
+                "piece": np.repeat(np.arange(len(left), dtype=np.int32), lengths),
+                "pos": np.arange(total, dtype=np.int32),
+                "follows": follows,
+                "token": tokens,
+            }
+        )
+        rounds = max(8, STEP_ROWS // total)
+        self.db.register("start", start)
+        found = self.db.sql(query.replace("$rounds", str(rounds)) + _ENDS).to_arrow_table()
+        self.db.unregister("start")
+        # Positions ascend over the pieces, so their order is that of the pieces too.
+        order = np.argsort(found["pos"].to_numpy())
+        piece, token = found["piece"].to_numpy()[order], found["token"].to_numpy()[order]
+        at = found["round"].to_numpy()[order]
+        coded = list(map(str, token.tolist()))
+        bounds = np.searchsorted(piece, np.arange(len(left) + 1))
+        more = at[bounds[:-1]] >= rounds
+        sizes = np.diff(bounds)
+        for i, a, b, unfinished in zip(left, bounds[:-1].tolist(), bounds[1:].tolist(), more.tolist(), strict=True):
+            if not unfinished:
+                done[i] = ",".join(coded[a:b])
+        again = [left[i] for i in np.flatnonzero(more).tolist()]
+        return again, sizes[more], token[np.repeat(more, sizes)].astype(np.int32)
+
     def _pieces(self, wanted: set[str]) -> dict[str, str]:
         """Ids of distinct pieces, as text."""
         known, missing = {}, []
@@ -201,15 +253,19 @@ class Encoder:
             self.before, self.late, self.late_bytes = self.late, {}, 0
         chunked = []
         for value in values:
-            if not value or _ODD_SPACE(value):
+            words = _words(value)
+            if words is None:
                 chunked.append(self.split(value))
             else:
                 # Chunks begin with their space or line feed, but for the first.
-                words = value.replace("\n", " \n").split(" ")
                 chunked.append([words[0], *[w if w[0] == "\n" else " " + w for w in words[1:]]])
-        self._learn(set().union(*chunked).difference(self.late))
-        get = self.late.__getitem__
-        return [",".join(map(get, chunks)) for chunks in chunked]
+        known = [list(map(self.late.get, chunks)) for chunks in chunked]
+        self._learn({c for chunks, got in zip(chunked, known) if None in got for c, ids in zip(chunks, got) if ids is None})
+        late = self.late
+        return [
+            ",".join([late[c] if ids is None else ids for c, ids in zip(chunks, got)] if None in got else got)
+            for chunks, got in zip(chunked, known)
+        ]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each text: its ids meet the token table and the bytes are put in order of position."""

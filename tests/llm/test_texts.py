@@ -86,6 +86,37 @@ def test_bpe_keeps_and_forgets_pieces_across_batches(monkeypatch):
     assert encoder.merged_before or encoder.merged_late
 
 
+def test_bpe_short_pieces_take_the_plain_steps(monkeypatch):
+    import tiktoken
+
+    import catalogrec.llm.bpe as module
+
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(module, "STEP_ROWS", 1)  # eight steps a query: unfinished pieces go on
+    encoder = module.Encoder(path, tokenizers.PATTERN)
+    asked = []
+
+    class Spy:
+        def __init__(self, db):
+            self.db = db
+
+        def __getattr__(self, name):
+            return (lambda q: asked.append(q) or self.db.sql(q)) if name == "sql" else getattr(self.db, name)
+
+    encoder.db = Spy(encoder.db)
+    rng = random.Random(5)
+    short = ["".join(rng.choice("aabxé") for _ in range(rng.randint(2, 16))) for _ in range(200)]
+    odd = ["a\tb \t", "a\tb  c", "a\n", "\na", "a \n b", "x\u00a0y z", "\x1ca b", " ", "a\n\nb", "q\u2003 r"]
+    for batch in (short, odd):
+        assert encoder.encode(batch) == [",".join(map(str, library.encode_ordinary(v))) for v in batch]
+    assert asked and not any(" over (" in q for q in asked)
+    long = ["a" * n for n in (31, 32, 33, 64, 200)] + ["".join(rng.choice("abé") for _ in range(150)) for _ in range(20)]
+    assert encoder.encode(long + short) == [",".join(map(str, library.encode_ordinary(v))) for v in long + short]
+    assert any(" over (" in q for q in asked)
+
+
 def test_transducer_forgets_and_goes_on(monkeypatch):
     import catalogrec.llm.transducer as module
 
