@@ -12,6 +12,7 @@ import pytest
 
 from catalogrec.llm.bpe import bpe_encode
 from catalogrec.llm.extraction import STOP_WORDS, extract_main_text, main_text
+from catalogrec.llm.common import may_hold, sieve
 from catalogrec.llm.jaccard import jaccard_classes
 from catalogrec.llm.langid import identify_language, language_profiles
 from catalogrec.llm.mixing import mix
@@ -193,6 +194,31 @@ def test_jaccard_counts_every_link(spark, monkeypatch, tile):
     assert got == want and max(want.values()) >= len(group) + 1
 
 
+def test_jaccard_looks_for_candidates_in_rounds(spark, monkeypatch):
+    """The shingles of a round are a part of all (their shuffle files are released), and no link is lost between rounds."""
+    import catalogrec.llm.jaccard as module
+
+    monkeypatch.setattr(module, "ROUND_SHINGLES", 300)
+    shared, written = module._shared_tokens, []
+    monkeypatch.setattr(module, "_shared_tokens", lambda tokens: written.append((tokens.count(), tokens.select("token").distinct())) or shared(tokens))
+    rows = near_copies()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_classes(docs(spark, [(i, t, None, None) for i, t in rows])).collect()}
+    assert got == brute_classes(rows)
+    counts = [n for n, _ in written]
+    assert len(counts) > 2 and max(counts) < sum(counts) / 2
+
+
+def test_sieve_never_loses_a_key(spark):
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id) AS doc_id", "xxhash64(id) AS text_hash")
+    keys = rows.where("text_hash % 50 = 0 OR doc_id IS NULL")
+    words = sieve(keys, "doc_id", "text_hash")
+    told = may_hold(rows, words, "doc_id", "text_hash")
+    assert told.columns == ["doc_id", "text_hash", "may_hold"] and told.count() == 20_000
+    assert told.where("(text_hash % 50 = 0 OR doc_id IS NULL) AND NOT may_hold").count() == 0
+    assert told.where("may_hold").count() <= keys.count() + 20
+    assert may_hold(rows, sieve(keys.limit(0), "doc_id", "text_hash"), "doc_id", "text_hash").where("may_hold").count() == 0
+
+
 def test_jaccard_null_and_repeated_ids(spark):
     table = docs(spark, [(None, "a b c d e f", None, None), (4, "a b c d e f", None, None), (4, "x y z", None, None), (4, "x y z", None, None), (None, "q", None, None)])
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_classes(table).collect())
