@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogrec.llm.bpe import bpe_encode
-from catalogrec.llm.common import cut, held_out, table
+from catalogrec.llm.common import cut, held_out, may_hold, sieve, table
 from catalogrec.llm.jaccard import jaccard_classes
 from catalogrec.llm.langid import UNKNOWN, identify_language, language_profiles
 from catalogrec.llm.mixing import WORD, mix
@@ -66,13 +66,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = _documents(docs)
     wordless = F.coalesce(~F.col("text").rlike(WORD), F.lit(True))
     told = jaccard_classes(docs.where(~wordless).select("doc_id", "text"))
-    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("s")
-    kept = told.groupBy("class_digest").agg(chosen).select(F.col("s.doc_id").alias("kept_id"), F.col("s.text_hash").alias("kept_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
-    found = docs.where(~wordless).join(cut(kept, "kept-documents"), same)
+    told = cut(told.select("doc_id", "text_hash", "class_digest", "n_links"), "near-classes")
+    # A row without links is alone in its class: only rows that may have links are shuffled.
+    linked = sieve(told.where("n_links > 0"), "doc_id", "text_hash")
+    rows = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_key", F.col("doc_id").cast("long"))
+    rows = may_hold(rows, linked, "_key", "_hash").withColumn("may_hold", F.col("may_hold") & ~wordless).drop("_key")
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")).alias("s")
+    kept = told.groupBy("class_digest").agg(chosen).select("s._none", F.coalesce("s.doc_id", F.lit(0)).alias("_id"), F.col("s.text_hash").alias("_hash"))
+    some = rows.where("may_hold").withColumn("_none", F.col("doc_id").isNull()).withColumn("_id", F.coalesce("doc_id", F.lit(0)))
+    # Joined and grouped by the same keys, the texts are shuffled once.
+    key = ["_none", "_id", "_hash"]
+    found = some.join(kept, key)
     rest = F.min(F.struct("lang", "source", "n_chars")).alias("s")
-    once = found.groupBy("doc_id", "kept_hash", "text").agg(rest).select("doc_id", "text", "s.lang", "s.source", "s.n_chars")
-    return once.unionByName(docs.where(wordless))
+    once = found.groupBy(*key, "doc_id", "text").agg(rest).select("doc_id", "text", "s.lang", "s.source", "s.n_chars")
+    return once.unionByName(rows.where("not may_hold").select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

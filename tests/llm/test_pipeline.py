@@ -79,6 +79,19 @@ def test_one_document_of_each_class_stays(spark, corpus):
     assert sorted((r["doc_id"], r["n_chars"]) for r in again.collect()) == [(1, 0), (304, 2)]
 
 
+def test_texts_without_links_are_not_shuffled(spark, monkeypatch):
+    """Only rows that may be linked reach the exchange of the near-duplicate stage; their class keeps its smallest id."""
+    sieved = []
+    monkeypatch.setattr(corpus_pipeline, "may_hold", lambda *a, f=corpus_pipeline.may_hold: sieved.append(f(*a)) or sieved[-1])
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20)), "xx", "a", i, "s") for i in range(300)]
+    rows += [(i, rows[0][1], "xx", "b", i, "s") for i in (300, 300, None)]
+    rows += [(None, " - ", None, None, None, "s")]
+    kept = stage(spark, "near_duplicates", spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert Counter((r["doc_id"], r["n_chars"]) for r in kept) == Counter([(r[0], r[4]) for r in rows[:300]] + [(None, None)])
+    assert sieved[0].where("may_hold").count() < 10
+
+
 def test_mixing_repeats_and_drops(spark, corpus):
     folder, rows = corpus
     docs = [r for r in rows if r[0] < 240]
