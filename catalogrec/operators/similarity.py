@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import release, scratch_path
+from ..session import release, remove, scratch_path
 
 # Bytes of vectors one side may have to be shipped to every executor.
 SMALL_SIDE_BYTES = 64 << 20
@@ -129,7 +129,8 @@ class BallIndex:
     """The right rows of a block grouped into balls, each with its centre and radius.
 
     For unit vectors q and x in a ball of centre c and radius r (the largest |x - c|),
-    q.x = q.c + q.(x - c) <= q.c + r, so a ball whose bound is below a query's k-th best score
+    q.x = q.c + q.(x - c) <= q.c + r, and as |q - x| >= |q - c| - r, also
+    q.x <= 1 - max(0, |q - c| - r)^2 / 2. A ball whose bound is below a query's k-th best score
     holds none of its k best and is skipped. Balls come from a few rounds of spherical k-means
     seeded by evenly spaced rows (no randomness: the same rows give the same balls).
     """
@@ -156,15 +157,33 @@ class BallIndex:
         self.ball_of = np.empty(n, dtype=np.int64)
         for b, m in enumerate(self.members):
             self.ball_of[m] = b
+        self.squares = np.einsum("ij,ij->i", self.centres, self.centres)
         self.narrow = x.astype(np.float32)
         self.scored = 0
 
+    def near(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(nearest ball, bounds of the products with each ball's members) of unit rows."""
+        products = q @ self.centres.T
+        return np.argmax(products - self.squares / 2, axis=1), _bounds(products, self.squares, self.radii)
+
     @staticmethod
     def _assign(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
         step = max(1, _BLOCK_CELLS // max(1, len(centres)))
         return np.concatenate([np.argmax(x[i : i + step] @ centres.T, axis=1) for i in range(0, len(x), step)])
 
 
+def _bounds(products: np.ndarray, squares: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Upper bounds of products with the members of balls, from products with their centres (both of a ball's bounds)."""
+    gap = 1 + squares - 2 * products
+    np.sqrt(np.maximum(gap, 0, out=gap), out=gap)
+    gap -= radii
+    np.maximum(gap, 0, out=gap)
+    np.square(gap, out=gap)
+    gap *= -0.5
+    gap += 1
+    return np.minimum(products + radii, gap, out=gap)
+
+
 def _merge(best_s, best_i, rows, scores, ids, k):
     """Fold new (row, score, id) cells into the k best of their rows; ties go to the lower id."""
     own = np.unique(rows)
@@ -187,13 +206,16 @@ def _exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) ->
     return np.round(np.concatenate([np.empty(0), *found]), SCORE_DECIMALS) + 0.0
 
 
-def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.Array, index: BallIndex | None = None):
+def _nearest_in_block(
+    left: VectorBlock, right: VectorBlock, k: int, known: pa.Array, index: BallIndex | None = None, floor: np.ndarray | None = None
+):
     """(left ids, right ids, scores) of the k best right rows of each left row, exactly.
 
     ``known`` lists the keys of one side: other keys exclude nothing. ``right`` is taken in id
     order (sorted here if it is not), so that equal scores go to the lower id. The right side is searched
     through its ``BallIndex`` (built here unless given): each left row first scores the ball with
-    its highest bound, then every ball whose bound reaches its k-th best score so far.
+    the nearest centre, then every ball whose bound reaches its k-th best score so far. ``floor`` names a
+    score per left row below which nothing is wanted (the k-th best of rows met before).
     """
     if not len(left) or not len(right):
         empty = np.empty(0, dtype=np.int64)
@@ -211,13 +233,14 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
     found = []
     for start, m in excluded.chunks(len(left), step, _BLOCK_CELLS):
         q = left.unit[start : start + m]
-        bound = q @ index.centres.T + index.radii
+        first, bound = index.near(q)
+        low = np.full(m, -np.inf) if floor is None else floor[start : start + m]
         best_s, best_i = np.full((m, k), -np.inf), np.full((m, k), unused, dtype=np.int64)
         done = np.zeros((m, n_balls), dtype=bool)
 
         def better(rows: np.ndarray, places: np.ndarray, scores: np.ndarray) -> np.ndarray:
             """Cells that enter the k best of their rows: a better score, or an equal one with a lower id."""
-            last = best_s[rows, -1]
+            last = np.maximum(best_s[rows, -1], low[rows])
             return (scores > last) | ((scores == last) & (right.ids[places] < best_i[rows, -1]))
 
         def score(ball: int, rows: np.ndarray) -> None:
@@ -230,7 +253,7 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
             scores = np.round(q[rows] @ right.unit[members].T, SCORE_DECIMALS) + 0.0
             index.scored += scores.size
             done[rows, ball] = True
-            at, cols = np.nonzero(scores >= best_s[rows, -1:])
+            at, cols = np.nonzero(scores >= np.maximum(best_s[rows, -1], low[rows])[:, None])
             new = better(rows[at], members[cols], scores[at, cols])
             new[new] = ~excluded.among(start + rows[at[new]], members[cols[new]])
             kept = np.full(scores.shape, -np.inf)
@@ -238,19 +261,19 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
             at, cols = _best(kept, k)
             _merge(best_s, best_i, rows[at], kept[at, cols], right.ids[members[cols]], k)
 
-        first = np.argmax(bound, axis=1)
-        for ball in np.unique(first):
-            score(ball, np.flatnonzero(first == ball))
         # A bound that is no number (a broken vector in the ball) keeps nothing out.
-        left_over = (~done & ~(bound < best_s[:, -1:] - _SLACK)) @ sizes
+        wanted = ~(bound[np.arange(m), first] < low - _SLACK)
+        for ball in np.unique(first[wanted]):
+            score(ball, np.flatnonzero(wanted & (first == ball)))
+        left_over = (~done & ~(bound < np.maximum(best_s[:, -1], low)[:, None] - _SLACK)) @ sizes
         if left_over.sum() > _DENSE_SHARE * m * len(right):
             # Little is pruned (vectors without structure): products in single precision tell, with room
             # for their error, the few cells that can enter the k best, and only those are scored exactly.
             narrow = q.astype(np.float32)
             part = max(1, _BLOCK_CELLS // m)
             for i in range(0, len(right), part):
-                floor = (best_s[:, -1:] - loose).astype(np.float32)
-                near = narrow @ index.narrow[i : i + part].T >= floor
+                least = (np.maximum(best_s[:, -1], low)[:, None] - loose).astype(np.float32)
+                near = narrow @ index.narrow[i : i + part].T >= least
                 index.scored += near.size
                 rows, cols = np.divmod(np.flatnonzero(near), near.shape[1])  # one dimension is searched faster than two
                 new = ~done[rows, index.ball_of[i + cols]]
@@ -262,7 +285,7 @@ def _nearest_in_block(left: VectorBlock, right: VectorBlock, k: int, known: pa.A
                     _merge(best_s, best_i, rows[new], scores[new], right.ids[i + cols[new]], k)
         else:
             for ball in np.argsort(-bound.max(axis=0), kind="stable"):
-                rows = np.flatnonzero(~done[:, ball] & ~(bound[:, ball] < best_s[:, -1] - _SLACK))
+                rows = np.flatnonzero(~done[:, ball] & ~(bound[:, ball] < np.maximum(best_s[:, -1], low) - _SLACK))
                 if len(rows):
                     score(ball, rows)
         rows, cols = np.nonzero(np.isfinite(best_s))
@@ -350,9 +373,9 @@ def nearest(
     * right side small: it is broadcast, each left batch is finished in place, no shuffle;
     * left side small: it is broadcast, each right partition emits its own top k per left row,
       and a ranking window merges those;
-    * neither small: both sides are cut by hash into pieces of bounded size and every pair of
-      pieces meets in one group (fragment and replicate, in rounds of bounded shuffle), followed by
-      the same merge. Pieces are cut by row id, so no group depends on the data's keys.
+    * neither small: the right side is cut into cells of near vectors and these into pieces of bounded
+      size. Each left row meets its own cell first, then every other piece in which a ball of rows may
+      still hold one of its k best (in rounds of bounded shuffle); the same merge follows.
     """
     lhs = _side(left, left_id, left_vec, left_keys)
     if not unique_left:
@@ -403,43 +426,187 @@ def _keep_best(a, b, k: int):
     return left_ids[keep], right_ids[keep], scores[keep]
 
 
+# Rows that the cells' centres are taken from (the result does not depend on them), and cells at most.
+_CENTRE_ROWS = 1 << 13
+_MOST_CELLS = 256
+_CELL_ROUNDS = 5
+# Numbers in the centres of all balls that tell which pieces a row has to meet: they are broadcast.
+_ROUTE_NUMBERS = 1 << 20
+# Pairs of pieces that meet in a round, per core.
+_PAIRS_PER_CORE = 4
+_PIECES = "id long, vec array<double>, keys array<string>"
+
+
+def _unit_rows(column: pa.Array) -> np.ndarray:
+    rows = _combined(column)
+    unit = np.array(rows.flatten(), dtype=np.float64).reshape(len(rows), -1)
+    size = np.sqrt(np.einsum("ij,ij->i", unit, unit))
+    size[size == 0] = 1.0
+    return unit / size[:, None]
+
+
+def _centres(side: DataFrame, n: int) -> np.ndarray:
+    """Centres of n cells or fewer, from some of the rows."""
+    some = side.select("vec").orderBy(F.xxhash64("id"), "id").limit(_CENTRE_ROWS).toArrow()
+    x = _unit_rows(some["vec"])
+    x = x[np.isfinite(x).all(axis=1)]
+    if not len(x):
+        return np.zeros((1, x.shape[1]))
+    centres = x[np.linspace(0, len(x) - 1, min(n, len(x))).astype(np.int64)]
+    for _ in range(_CELL_ROUNDS):
+        own = np.argmax(x @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, x)
+        size = np.linalg.norm(sums, axis=1)
+        centres[size > 0] = sums[size > 0] / size[size > 0, None]
+    return centres
+
+
+def _celled(side: DataFrame, centres: np.ndarray, name: str) -> tuple[DataFrame, str, list[int]]:
+    """A side written with the cell of each row, its path, and the rows of each cell."""
+    spark = side.sparkSession
+    shared = spark.sparkContext.broadcast(centres)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.argmax(_unit_rows(batch.column("vec").slice(i, _SLICE_ROWS)) @ shared.value.T, axis=1) for i in range(0, len(batch), _SLICE_ROWS)]
+            cell = pa.array(np.concatenate([np.zeros(0, np.int64), *own]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=["id", "vec", "keys", "cell"])
+
+    path = scratch_path(spark, name)
+    rows = side.withColumn("vec", F.col("vec").cast("array<double>"))
+    rows.mapInArrow(assign, f"{_PIECES}, cell int").write.parquet(path)
+    written = spark.read.parquet(path)
+    counts = dict(written.groupBy("cell").count().collect())
+    return written, path, [counts.get(c, 0) for c in range(len(centres))]
+
+
+def _looked_up(values: list[int], at) -> F.Column:
+    return F.get(F.array(*[F.lit(int(v)) for v in values]), at)
+
+
 def _fragment_and_replicate(lhs: DataFrame, left_bytes: int, rhs: DataFrame, right_bytes: int, k: int) -> DataFrame:
-    """Top k of every left row over all pairs of pieces of the two sides.
+    """Top k of every left row where neither side is small.
 
-    Every left piece meets every right piece, so moving all pairs at once would write a side as often
-    as the other has pieces. Both sides are written once, and the left pieces are taken in rounds of
-    just enough pairs for all cores: a round moves the right side a few times and its own left
-    pieces, and its shuffle files are released before the next one.
+    Near vectors lie in the same cell (that of the nearest centre); cells are cut by row id into pieces of
+    bounded size. After a left row met the pieces of its own cell, its k-th best score so far tells with
+    the bounds of ``BallIndex`` which other pieces it has to meet: none that cannot hold a better row. Where
+    vectors are without structure these are all.
     """
     spark = lhs.sparkSession
+    centres = _centres(rhs, min(_MOST_CELLS, max(2, ceil(right_bytes / PIECE_BYTES))))
+    left, left_path, left_rows = _celled(lhs, centres, "nearest-left")
+    right, right_path, right_rows = _celled(rhs, centres, "nearest-right")
+    left_bytes, right_bytes = left_bytes / max(1, sum(left_rows)), right_bytes / max(1, sum(right_rows))
+    # Pieces are numbered through; those of a cell follow each other.
+    parts = [max(1, ceil(n * right_bytes / PIECE_BYTES)) for n in right_rows]
+    firsts = [sum(parts[:c]) for c in range(len(parts))]
+    piece = _looked_up(firsts, F.col("cell")) + F.pmod(F.xxhash64("id"), _looked_up(parts, F.col("cell"))).cast("int")
+    right = right.withColumn("rp", piece)
+    first = _looked_up(firsts, F.col("cell"))
+    own = F.sequence(first, first + _looked_up(parts, F.col("cell")) - 1)
+
+    out = scratch_path(spark, "nearest-own")
+    _meet_pieces(left.select("id", "vec", "keys", F.lit(float("-inf")).alias("floor"), own.alias("rps")), right, left_bytes, k, out)
+    met = spark.read.schema(_RESULT).parquet(out)
+    best = _materialized(_ranked(met, k), "nearest-best")
+    remove(spark, out)
+
+    least = best.where(F.col("rank") == k).select(F.col("left_id").alias("id"), F.col("similarity").alias("floor"))
+    known = left.join(least, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    more_path = scratch_path(spark, "nearest-more")
+    _routed(known, right, firsts, parts, sum(right_rows)).write.parquet(more_path)
+    release(spark)
+    more = spark.read.parquet(more_path)
+    out = scratch_path(spark, "nearest-other")
+    _meet_pieces(more, right, left_bytes, k, out)
+    remove(spark, more_path)
+    release(spark, left_path, right_path)
+    return _ranked(best.unionByName(spark.read.schema(_RESULT).parquet(out)), k)
+
+
+def _materialized(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(_RESULT).parquet(path)
+
+
+def _routed(known: DataFrame, right: DataFrame, firsts: list[int], parts: list[int], n_right: int) -> DataFrame:
+    """(id, vec, keys, floor, rps): left rows with the pieces outside their cell that may hold a row of score ``floor``."""
+    spark = known.sparkSession
+    width = (right.select(F.size("vec")).first() or [1])[0]
+    ball_rows = max(BALL_ROWS, ceil(n_right * width / _ROUTE_NUMBERS))
+
+    def outline(rows: pa.Table) -> pa.Table:
+        """Balls of a piece; its rows are put in order, so that they are the same wherever they are asked for."""
+        block = VectorBlock(rows)
+        index = BallIndex(block, ball_rows)
+        centres = pa.FixedSizeListArray.from_arrays(pa.array(index.centres.ravel()), index.centres.shape[1]).cast(pa.list_(pa.float64()))
+        piece = pa.array([rows["rp"][0].as_py()] * len(centres), pa.int32())
+        return pa.table({"rp": piece, "centre": centres, "radius": pa.array(index.radii)})
+
+    balls = right.groupBy("rp").applyInArrow(outline, "rp int, centre array<double>, radius double").toArrow().sort_by("rp")
+    centres = np.array(_combined(balls["centre"]).flatten(), dtype=np.float64).reshape(balls.num_rows, -1)
+    squares = np.einsum("ij,ij->i", centres, centres)
+    present, starts = np.unique(np.asarray(balls["rp"]), return_index=True)
+    of_cell = np.repeat(np.arange(len(parts)), parts)[present]
+    narrow = [a.astype(np.float32) for a in (centres, squares, np.asarray(balls["radius"]))]
+    shared = spark.sparkContext.broadcast((narrow, present.astype(np.int32), starts, of_cell))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (centres, squares, radii), present, starts, of_cell = shared.value
+        # Bounds in single precision are off by less than this.
+        loose = _SLACK + 4 * (centres.shape[1] + 8) * 2.0**-23
+        step = max(1, _BLOCK_CELLS // len(centres))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, len(b), step)):
+            q = _unit_rows(batch.column("vec")).astype(np.float32)
+            bound = _bounds(q @ centres.T, squares, radii)
+            least = (np.asarray(batch.column("floor")) - loose).astype(np.float32)
+            meets = np.logical_or.reduceat(~(bound < least[:, None]), starts, axis=1)
+            meets &= np.asarray(batch.column("cell"))[:, None] != of_cell
+            counts = meets.sum(axis=1)
+            rps = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(present[np.nonzero(meets)[1]]))
+            some = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "vec", "keys", "floor")), rps], names=["id", "vec", "keys", "floor", "rps"])
+            yield some.filter(pa.array(counts > 0))
+
+    return known.select("id", "vec", "keys", "floor", "cell").mapInArrow(route, f"{_PIECES}, floor double, rps array<int>")
+
+
+def _meet_pieces(left: DataFrame, right: DataFrame, left_bytes: float, k: int, out: str) -> None:
+    """Write the k best of each left row (id, vec, keys, floor, rps) in each of its right pieces ``rps``.
+
+    The left rows of a piece are cut by row id into parts of bounded size. The pairs of parts and pieces
+    are numbered and meet in rounds; a round's shuffle files are released before the next one.
+    """
+    spark = left.sparkSession
+    asked = dict(left.select(F.explode("rps").alias("rp")).groupBy("rp").count().collect())
+    n = max(asked, default=0) + 1
+    parts = [ceil(asked.get(p, 0) * left_bytes / PIECE_BYTES) for p in range(n)]
     cores = spark.sparkContext.defaultParallelism
-    n_right = max(2, ceil(right_bytes / PIECE_BYTES))
-    per_round = ceil(cores / n_right)
-    n_left = max(2, per_round, ceil(left_bytes / PIECE_BYTES))
-
-    def stored(df: DataFrame, name: str, own: str, n_own: int) -> tuple[DataFrame, str]:
-        path = scratch_path(spark, name)
-        df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).write.parquet(path)
-        return spark.read.parquet(path), path
-
-    left, left_path = stored(lhs, "nearest-left", "lp", n_left)
-    right, right_path = stored(rhs, "nearest-right", "rp", n_right)
-    every_right = F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))
+    # Parts enough for all cores where few pieces are asked.
+    while 0 < sum(parts) < cores and max(asked.values()) > _SLICE_ROWS * max(parts):
+        parts = [2 * p for p in parts]
+    firsts = [sum(parts[:p]) for p in range(n)]
+    number = _looked_up(firsts, F.col("rp"))
+    total = _looked_up(parts, F.col("rp"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), total).cast("int")
+    pairs_left = left.withColumn("rp", F.explode("rps")).drop("rps").withColumn("pair", number + part)
+    pairs_right = right.where(total > 0).withColumn("pair", F.explode(F.sequence(number, number + total - 1)))
 
     def meet(l: pa.Table, r: pa.Table) -> pa.Table:
         return _meet(l, r, k)
 
-    out = scratch_path(spark, "nearest")
-    for first in range(0, n_left, per_round):
-        last = min(first + per_round, n_left) - 1
-        grid_left = left.where(F.col("lp").between(first, last)).withColumn("rp", every_right).groupBy("lp", "rp")
-        grid_right = right.withColumn("lp", F.explode(F.sequence(F.lit(first), F.lit(last)))).groupBy("lp", "rp")
+    per_round = max(1, _PAIRS_PER_CORE * cores)
+    for at in range(0, sum(parts), per_round):
+        now = F.col("pair").between(at, at + per_round - 1)
+        grid_left = pairs_left.where(now).select("id", "vec", "keys", "floor", "pair").groupBy("pair")
+        grid_right = pairs_right.where(now).select("id", "vec", "keys", "pair").groupBy("pair")
         found = grid_left.cogroup(grid_right).applyInArrow(meet, _RESULT)
-        _ranked(found, k).write.mode("append").parquet(out)
+        found.write.mode("append").parquet(out)
         del grid_left, grid_right, found
         release(spark)
-    release(spark, left_path, right_path)
-    return spark.read.schema(_RESULT).parquet(out)
+    if not sum(parts):
+        spark.createDataFrame([], _RESULT).write.parquet(out)
 
 
 def _meet(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
@@ -449,8 +616,10 @@ def _meet(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     index = BallIndex(block)
     found = []
     for at in range(0, max(1, len(left)), _SLICE_ROWS):
-        asked = VectorBlock(left.slice(at, _SLICE_ROWS))
-        found.append(_batch(_nearest_in_block(asked, block, k, asked.distinct_keys(), index)))
+        part = left.slice(at, _SLICE_ROWS)
+        asked = VectorBlock(part)
+        floor = np.array(_combined(part["floor"]), dtype=np.float64)
+        found.append(_batch(_nearest_in_block(asked, block, k, asked.distinct_keys(), index, floor)))
     return pa.Table.from_batches(found)
 
 

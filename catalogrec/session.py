@@ -79,6 +79,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables that nothing reads any more, and the shuffle files of finished jobs.
 
@@ -86,9 +93,7 @@ def release(spark: SparkSession, *paths: str) -> None:
     """
     gc.collect()
     spark._jvm.System.gc()
-    for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, *paths)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -259,6 +259,39 @@ def test_pieces_meet_in_rounds(spark, monkeypatch):
     assert len(rounds) > 2 and not any(rounds[:-1]) and len(rounds[-1]) == 2
 
 
+@pytest.mark.parametrize("clustered", [True, False])
+def test_rows_meet_only_pieces_that_may_hold_a_better_row(spark, monkeypatch, clustered):
+    monkeypatch.setattr(similarity, "PIECE_BYTES", 4000)
+    met = []
+    meet = similarity._meet_pieces
+    monkeypatch.setattr(similarity, "_meet_pieces", lambda left, *a: met.append(sum(len(r.rps) for r in left.select("rps").collect())) or meet(left, *a))
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 8))
+    make = lambda i: centres[i % 12] + 0.02 * rng.normal(size=8) if clustered else rng.normal(size=8)
+    left, right = {i: make(i) for i in range(120)}, {i: make(i) for i in range(500, 1100)}
+    for i in range(700, 760):  # copies: ties go to the lower id, some are excluded
+        right[i] = right[700]
+    left[3], left[4], right[501] = right[700], np.zeros(8), np.zeros(8)
+    hot = {i: ["hot"] if i % 3 == 0 else [f"k{i}"] for i in left}
+    carried = {i: ["hot", "z"] if i % 2 else None for i in right}
+    hot[5] = ["all"]  # a row whose own cell is excluded must look elsewhere
+    for i in right:
+        if clustered and i % 12 == 5:
+            carried[i] = ["all"]
+
+    def frame(vectors, keys):
+        rows = [(i, [float(x) for x in v], keys[i]) for i, v in vectors.items()]
+        return spark.createDataFrame(rows, "id long, embedding array<double>, keys array<string>").repartition(3)
+
+    found = similarity.nearest(frame(left, hot), frame(right, carried), 5, "id", "id", left_keys="keys", right_keys="keys", small_side_bytes=100)
+    got = {}
+    for r in found.orderBy("left_id", "rank").collect():
+        got.setdefault(r.left_id, []).append(r.right_id)
+    assert got == brute_nearest(left, right, 5, lambda a, b: bool(set(hot[a]) & set(carried[b] or [])))
+    pieces = 600 * 64 // 4000
+    assert len(met) == 2 and (sum(met) < 0.5 * 120 * pieces if clustered else True)
+
+
 def test_nearest_with_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
     found = similarity.nearest(df, df, 5, "id", "id").collect()
